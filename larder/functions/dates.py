@@ -1,11 +1,10 @@
 """One timestamp out of many spellings.
 
-Each spelling is a guard pattern plus a way to rewrite it as ISO text; the cast
-of that text then refuses impossible dates. Nothing depends on the session time
-zone, and no spelling depends on what other rows look like.
+A text is rewritten as ISO text and then cast, which refuses impossible dates.
+Nothing depends on the session time zone or on what other rows look like.
 """
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder import defaults
@@ -15,28 +14,23 @@ EARLIEST = "1677-09-21 00:12:44"
 LATEST = "2262-04-11 23:47:16"
 
 _ISO = r"^\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?)?(Z|[+-]\d{2}:\d{2})?$"
-_TIME = r"(?:\s+(\d{1,2}:\d{2}(?::\d{2})?))?$"
-_SLASH = r"^(\d{1,2})/(\d{1,2})/(\d{4})" + _TIME
-_YEAR_SLASH = r"^(\d{4})/(\d{1,2})/(\d{1,2})" + _TIME
-_DASH = r"^(\d{1,2})-(\d{1,2})-(\d{4})" + _TIME
-_DOT = r"^(\d{1,2})\.(\d{1,2})\.(\d{4})$"
-_DIGITS_12 = r"^(\d{4})(\d{2})(\d{2})(\d{2})(\d{2})$"
-_DIGITS_8 = r"^(\d{4})(\d{2})(\d{2})$"
-_HALF_DAY = r"^(\d{1,2})([-/])(\d{1,2})[-/](\d{4})\s+(\d{1,2}):(\d{2})\s*([AaPp])[Mm]$"
-_MONTH_DAY_YEAR = r"^([A-Za-z]+)\s+(\d{1,2})\s+(\d{4})(?:\s+(\d{1,2}:\d{2}))?$"
-_DAY_MONTH_YEAR = r"^(\d{1,2})-([A-Za-z]{3})-(\d{4})" + _TIME
-
-_MONTH_FIRST = "$3-$1-$2 $4"
-_DAY_FIRST = "$3-$2-$1 $4"
-
-
-def _iso(text: Column) -> Column:
-    return text.try_cast("timestamp_ntz")
-
-
-def _rewritten(text: Column, guard: str, *templates: str) -> Column:
-    """First template whose result is a real date."""
-    return F.coalesce(*[_iso(F.regexp_replace(text, guard, t)) for t in templates])
+_CLOCK = r"(?:\s+(\d{1,2}:\d{2}(?::\d{2})?)(?:\s*([AaPp])[Mm])?)?$"
+_DAY_AND_MONTH = r"^\d{1,2}[-/.]\d{1,2}[-/.]\d{4}"
+
+# Spelling and the ISO text it stands for. Day and month in digits come out month
+# first here; the other reading swaps them later. A half-day mark stays at the end.
+REWRITES = (
+    (r"^(\d{1,2})([-/.])(\d{1,2})\2(\d{4})" + _CLOCK, "$4-$1-$3 $5$6"),
+    (r"^([A-Za-z]+)\s+(\d{1,2})\s+(\d{4})" + _CLOCK, "$3-$1-$2 $4$5"),
+    (r"^(\d{4})(\d{2})(\d{2})(\d{2})(\d{2})$", "$1-$2-$3 $4:$5"),
+    (r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3"),
+    (r"^(\d{4})/(\d{1,2})/(\d{1,2})" + _CLOCK, "$1-$2-$3 $4$5"),
+    (r"^(\d{1,2})-([A-Za-z]{3})-(\d{4})" + _CLOCK, "$3-$2-$1 $4$5"),
+)
+_NAMED = r"^(\d{4})-([A-Za-z]+)-"
+_SWAP = (r"^(\d{4})-(\d{1,2})-(\d{1,2})", "$1-$3-$2")
+# The cast alone would take a bare year or a bare time of day.
+_REWRITTEN = r"^\d{4}-\d{1,2}-\d{1,2}([ T]|$)"
 
 
 def _month_number(name: Column) -> Column:
@@ -47,61 +41,64 @@ def _month_number(name: Column) -> Column:
     return F.try_element_at(F.create_map(*pairs), F.lower(name))
 
 
-def _named_month(text: Column, guard: str, day: int, month: int, year: int, time: int) -> Column:
-    def part(group: int) -> Column:
-        return F.regexp_extract(text, guard, group)
+def _as_iso(text: Column) -> Column:
+    iso = text
+    for spelling, template in REWRITES:
+        iso = F.regexp_replace(iso, spelling, template)
+    return F.when(text.rlike(_ISO), text).otherwise(iso)
 
-    date = F.concat_ws("-", part(year), _month_number(part(month)), part(day))
-    return F.when(
-        _month_number(part(month)).isNotNull(), _iso(F.concat_ws(" ", date, part(time)))
-    )
 
+def _name_to_number(iso: Column) -> Column:
+    name = F.regexp_extract(iso, _NAMED, 2)
+    return F.when(iso.rlike(_NAMED), F.replace(iso, name, _month_number(name))).otherwise(iso)
 
-def _half_day(text: Column) -> Column:
-    def part(group: int) -> Column:
-        return F.regexp_extract(text, _HALF_DAY, group)
-
-    hour = part(5).try_cast("int")
-    hour_24 = hour % 12 + F.when(F.lower(part(7)) == "p", 12).otherwise(0)
-    clock = F.concat_ws(":", hour_24.cast("string"), part(6))
-    month_first = F.concat_ws("-", part(4), part(1), part(3))
-    day_first = F.concat_ws("-", part(4), part(3), part(1))
-    return F.when(
-        hour.between(1, 12),
-        F.coalesce(
-            _iso(F.concat_ws(" ", month_first, clock)),
-            _iso(F.concat_ws(" ", day_first, clock)),
-        ),
-    )
+
+def _on_the_clock(stamp: Column, half: Column) -> Column:
+    """Move a 12-hour time to where its half of the day puts it."""
+    hour = F.hour(stamp)
+    shift = F.when((half == "p") & (hour < 12), 12).when((half == "a") & (hour == 12), -12)
+    moved = stamp + F.make_dt_interval(hours=F.coalesce(shift, F.lit(0)))
+    return F.when(half == "", stamp).when(hour <= 12, moved)
 
 
-def parse_timestamp(
-    col: Column,
+def with_timestamp(
+    df: DataFrame,
+    source: str = "DateTime",
+    target: str = "DateTime_Parsed",
     day_first: bool = True,
     earliest: str = EARLIEST,
     latest: str = LATEST,
-) -> Column:
-    """timestamp_ntz of ``col``, or null if no spelling fits.
+) -> DataFrame:
+    """Add the timestamp_ntz that ``source`` spells, or null.
 
-    ``day_first`` settles d/M against M/d; the other reading is used only where
-    the first is impossible. Offsets are dropped and the wall clock is kept.
+    ``day_first`` settles 24-hour slash dates: d/M, and M/d only where that is
+    impossible. All other digit dates read month first and turn to day first where
+    that is impossible. Offsets are dropped and the wall clock is kept.
     """
-    s = strip_ws(col)
-    slashes = (_DAY_FIRST, _MONTH_FIRST) if day_first else (_MONTH_FIRST, _DAY_FIRST)
-    parsed = (
-        F.when(s.rlike(_ISO), _iso(s))
-        .when(s.rlike(_SLASH), _rewritten(s, _SLASH, *slashes))
-        .when(s.rlike(_MONTH_DAY_YEAR), _named_month(s, _MONTH_DAY_YEAR, 2, 1, 3, 4))
-        .when(s.rlike(_DIGITS_12), _rewritten(s, _DIGITS_12, "$1-$2-$3 $4:$5"))
-        .when(s.rlike(_DIGITS_8), _rewritten(s, _DIGITS_8, "$1-$2-$3"))
-        .when(s.rlike(_HALF_DAY), _half_day(s))
-        .when(s.rlike(_DASH), _rewritten(s, _DASH, _MONTH_FIRST, _DAY_FIRST))
-        .when(s.rlike(_YEAR_SLASH), _rewritten(s, _YEAR_SLASH, "$1-$2-$3 $4"))
-        .when(s.rlike(_DAY_MONTH_YEAR), _named_month(s, _DAY_MONTH_YEAR, 1, 2, 3, 4))
-        .when(s.rlike(_DOT), _rewritten(s, _DOT, "$3-$1-$2", "$3-$2-$1"))
-    )
+    text, iso, half = F.col("_text"), F.col("_iso"), F.col("_half")
+    swap = text.rlike(_DAY_AND_MONTH)
+    prefer_day = text.contains("/") & (half == "") if day_first else F.lit(False)
+    other = F.when(swap, F.regexp_replace(F.col("_plain"), *_SWAP))
     low, high = (F.lit(x).cast("timestamp_ntz") for x in (earliest, latest))
-    return F.when(parsed.between(low, high), parsed)
+    return (
+        df.withColumn("_text", strip_ws(F.col(source)))
+        .withColumn("_iso", _as_iso(text))
+        .withColumn("_iso", _name_to_number(iso))
+        .withColumn("_iso", F.when(iso.rlike(_REWRITTEN), iso))
+        .withColumn("_half", F.lower(F.regexp_extract(iso, "([AaPp])$", 1)))
+        .withColumn("_plain", F.rtrim(iso, F.lit("AaPp")))
+        .withColumn("_one", F.col("_plain").try_cast("timestamp_ntz"))
+        .withColumn("_two", other.try_cast("timestamp_ntz"))
+        .withColumn(
+            "_one",
+            F.when(prefer_day & F.col("_two").isNotNull(), F.col("_two")).otherwise(
+                F.coalesce("_one", "_two")
+            ),
+        )
+        .withColumn("_one", _on_the_clock(F.col("_one"), half))
+        .withColumn(target, F.when(F.col("_one").between(low, high), F.col("_one")))
+        .drop("_text", "_iso", "_half", "_plain", "_one", "_two")
+    )
 
 
 # Spelling classes of the source audit: first match wins.
@@ -114,10 +111,9 @@ DATE_CLASSES = (
 )
 
 
-def date_class(col: Column) -> Column:
-    """Name of the spelling class; missing text is EMPTY, the rest OTHER."""
-    s = F.coalesce(strip_ws(col), F.lit(""))
-    label = F.when(s == "", "EMPTY")
+def date_class(text: Column) -> Column:
+    """Name of the spelling class of a trimmed text: '' is EMPTY, no match is OTHER."""
+    label = F.when(text == "", "EMPTY")
     for pattern, name in DATE_CLASSES:
-        label = label.when(s.rlike(pattern), name)
+        label = label.when(text.rlike(pattern), name)
     return label.otherwise("OTHER")

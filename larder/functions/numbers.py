@@ -1,8 +1,12 @@
-"""Numbers out of dirty text, and rounding that agrees with the reports."""
+"""Numbers out of dirty text, and rounding that agrees with the reports.
+
+The parsers mention their argument several times. Give them a column, not a long
+expression: ``with_quantity`` shows how to lay the steps out.
+"""
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder import defaults
@@ -13,85 +17,86 @@ _DECIMAL = r"^[+-]?(\d+(\.\d*)?|\.\d+)(e[+-]?\d+)?$"
 _INFINITE = r"^[+-]?inf(inity)?$"
 _NOT_A_NUMBER = r"^[+-]?nan$"
 _FIRST_NUMBER = r"(\d+[.,]?\d*)"
+# 1_000 is a number, 1__0 and _1 are not: only a '_' between digits may go.
+_SEPARATOR = r"(?<=\d)_(?=\d)"
 
 
-def _null_double() -> Column:
-    return F.lit(None).cast("double")
+def prepare(col: Column) -> Column:
+    """Lower case without outer blanks, as the parsers below want it."""
+    return F.lower(strip_ws(col))
 
 
-def _is_finite(number: Column) -> Column:
+def is_finite(number: Column) -> Column:
     return (F.abs(number) < float("inf")) & ~F.isnan(number)
 
 
-def _parse_stripped(text: Column) -> Column:
-    """``text`` is lower case without outer blanks."""
-    # 1_000 is a number, 1__0 and _1 are not: only a '_' between digits goes.
-    digits = F.when(text.contains("_"), F.regexp_replace(text, r"(?<=\d)_(?=\d)", ""))
-    plain = F.coalesce(digits, text)
-    infinity = F.when(text.startswith("-"), float("-inf")).otherwise(float("inf"))
-    return (
-        F.when(plain.rlike(_DECIMAL), plain.try_cast("double"))
-        .when(text.rlike(_INFINITE), infinity)
-        .when(text.rlike(_NOT_A_NUMBER), float("nan"))
-    )
-
-
-def parse_float(col: Column) -> Column:
-    """The double written in ``col``; infinities and NaN are kept, junk is null."""
-    return _parse_stripped(F.lower(strip_ws(col)))
-
-
 def nan_to_null(number: Column) -> Column:
     """NaN sorts above every number in Spark, so it must not reach a comparison."""
     return F.when(~F.isnan(number), number)
 
 
-def _quantity_text(col: Column) -> Column:
-    return F.lower(strip_ws(col))
+def parse_float(prepared: Column) -> Column:
+    """The double written in the text; infinities and NaN are kept, junk is null."""
+    plain = F.regexp_replace(prepared, _SEPARATOR, "")
+    infinity = F.when(prepared.startswith("-"), float("-inf")).otherwise(float("inf"))
+    return (
+        F.when(prepared.rlike(_DECIMAL), prepared.try_cast("double"))
+        .when(prepared.contains("_"), F.when(plain.rlike(_DECIMAL), plain.try_cast("double")))
+        .when(prepared.rlike(_INFINITE), infinity)
+        .when(prepared.rlike(_NOT_A_NUMBER), float("nan"))
+    )
 
 
-def quantity_number(col: Column) -> Column:
+def quantity_number(prepared: Column) -> Column:
     """Layer 1: the whole text is a number, with ',' or '.' as decimal mark.
 
     Signed, and with infinities and NaN, so that a caller can tell a refund from
     junk.
     """
-    return _parse_stripped(F.translate(_quantity_text(col), ",", "."))
+    return parse_float(F.translate(prepared, ",", "."))
 
 
-def quantity_word(col: Column, words: Mapping[str, int] = defaults.NUMBER_WORDS) -> Column:
+def quantity_word(prepared: Column, words: Mapping[str, int] = defaults.NUMBER_WORDS) -> Column:
     """Layer 2: the whole text is a number word."""
     pairs = [F.lit(x) for word, n in words.items() for x in (word, float(n))]
-    return F.try_element_at(F.create_map(*pairs), _quantity_text(col))
+    return F.try_element_at(F.create_map(*pairs), prepared)
 
 
-def quantity_in_text(col: Column) -> Column:
+def quantity_in_text(prepared: Column) -> Column:
     """Layer 3: the first unsigned number anywhere in the text."""
-    found = F.regexp_extract(_quantity_text(col), _FIRST_NUMBER, 1)
+    found = F.regexp_extract(prepared, _FIRST_NUMBER, 1)
     number = F.translate(found, ",", ".").try_cast("double")
-    return F.when(_is_finite(number), number)
+    return F.when(F.abs(number) < float("inf"), number)
 
 
-def parse_quantity(col: Column, words: Mapping[str, int] = defaults.NUMBER_WORDS) -> Column:
-    """Quantity >= 0 from dirty text, or null.
+def with_quantity(
+    df: DataFrame,
+    source: str = "Quantity",
+    target: str = "Quantity_Clean",
+    negative: str = "is_negative",
+    words: Mapping[str, int] = defaults.NUMBER_WORDS,
+) -> DataFrame:
+    """Add the quantity (>= 0 or null), and whether the text is a number below 0.
 
     A text that is a number in whole never falls through to the later layers:
     layer 3 would read a sale of 7 out of the refund '-7'.
     """
-    number = quantity_number(col)
-    blank = _quantity_text(col).isin(*defaults.QUANTITY_BLANKS)
+    text, number = F.col("_text"), F.col("_number")
+    quantity = (
+        F.when(text.isin(*defaults.QUANTITY_BLANKS), None)
+        .when(number.isNotNull(), F.when(is_finite(number) & (number >= 0), number))
+        .otherwise(F.coalesce(quantity_word(text, words), quantity_in_text(text)))
+    )
     return (
-        F.when(blank, _null_double())
-        .when(number.isNotNull(), F.when(_is_finite(number) & (number >= 0), number))
-        .otherwise(F.coalesce(quantity_word(col, words), quantity_in_text(col)))
+        df.withColumn("_text", prepare(F.col(source)))
+        .withColumn("_point", F.translate(text, ",", "."))
+        .withColumn("_number", parse_float(F.col("_point")))
+        .withColumn(target, quantity.cast("double"))
+        .withColumn(negative, F.coalesce(number < 0, F.lit(False)))
+        .drop("_text", "_point", "_number")
     )
 
 
-def is_negative_quantity(col: Column) -> Column:
-    """True where the whole text is a number below zero (also '-inf')."""
-    return F.coalesce(quantity_number(col) < 0, F.lit(False))
-
-
 def round_whole(number: Column) -> Column:
     """Nearest whole number, ties to the even one."""
     return F.rint(number)

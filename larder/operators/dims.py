@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder import defaults
-from larder.functions.numbers import parse_float
+from larder.functions.numbers import is_finite, parse_float, prepare
+from larder.functions.plan import hold
 from larder.functions.text import strip_ws
 
 
@@ -71,18 +72,18 @@ def thresholds(
 
 def flatten_menus(menus: DataFrame) -> DataFrame:
     """One row per menu and ingredient; unusable ingredients go, repeats stay."""
-    part = F.col("_part")
-    quantity = parse_float(entry_value(part, "qty_used"))
-    finite = F.when((F.abs(quantity) < float("inf")) & ~F.isnan(quantity), quantity)
+    part, quantity = F.col("_part"), F.col("qty_used")
     return (
         menus.filter(F.col("Menu_ID") != "")
         .select("Menu_ID", F.explode("ingredients").alias("_part"))
         .select(
             strip_ws(F.col("Menu_ID")).alias("Menu_ID"),
             strip_ws(entry_value(part, "Item_ID")).alias("Item_ID"),
-            finite.alias("qty_used"),
+            prepare(entry_value(part, "qty_used")).alias("_text"),
             entry_label(part, "UoM").alias("BOM_UoM"),
         )
+        .withColumn("qty_used", parse_float(F.col("_text")))
+        .select("Menu_ID", "Item_ID", hold(F.when(is_finite(quantity), quantity)).alias("qty_used"), "BOM_UoM")
         .dropna(subset=["Item_ID", "qty_used"])
     )
 

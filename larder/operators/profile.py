@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from larder import defaults
 from larder.functions.dates import date_class
-from larder.functions.numbers import quantity_number
+from larder.functions.numbers import parse_float, prepare
+from larder.functions.plan import hold
 from larder.functions.text import strip_ws
 from larder.operators.quality import REASON, value_shares
 
@@ -34,8 +35,10 @@ def emptiness_profile(sales: DataFrame) -> DataFrame:
 
 def quantity_profile(sales: DataFrame) -> DataFrame:
     """Counts by a plain cast alone: no number words and no number inside text."""
-    text, number = _text("Quantity"), quantity_number(F.col("Quantity"))
-    return sales.agg(
+    text, number = F.col("_text"), F.col("_number")
+    point = F.translate(F.coalesce(prepare(F.col("Quantity")), F.lit("")), ",", ".")
+    read = sales.select(point.alias("_text")).withColumn("_number", parse_float(text))
+    return read.agg(
         F.count_if(text == "").alias("empty"),
         F.count_if(number == 0).alias("zero"),
         F.count_if(number < 0).alias("negative"),
@@ -43,12 +46,17 @@ def quantity_profile(sales: DataFrame) -> DataFrame:
     )
 
 
+def with_date_class(sales: DataFrame) -> DataFrame:
+    staged = sales.select("DateTime", _text("DateTime").alias("_text"))
+    return staged.select("DateTime", hold(date_class(F.col("_text"))).alias("format"))
+
+
 def date_formats(sales: DataFrame) -> DataFrame:
-    return value_shares(sales.select(date_class(F.col("DateTime")).alias("format")), "format")
+    return value_shares(with_date_class(sales), "format")
 
 
 def unknown_dates(sales: DataFrame) -> DataFrame:
-    return sales.filter(date_class(F.col("DateTime")) == "OTHER").select("DateTime")
+    return with_date_class(sales).filter(F.col("format") == "OTHER").select("DateTime")
 
 
 def stock_drift(records: DataFrame) -> DataFrame:

@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder import defaults
-from larder.functions.dates import parse_timestamp
-from larder.functions.numbers import is_negative_quantity, parse_quantity
+from larder.functions.dates import with_timestamp
+from larder.functions.numbers import with_quantity
+from larder.functions.plan import hold
 from larder.functions.text import is_error_flag, strip_ws
 from larder.operators.lookups import flag_missing
 from larder.operators.ordered import flag_repeats, keep_first
@@ -21,13 +22,7 @@ Rule = tuple[str, Column]
 
 def parse_sales(sales: DataFrame) -> DataFrame:
     """Add the typed columns; each is null where its text cannot be read."""
-    stamped = sales.withColumns(
-        {
-            "DateTime_Parsed": parse_timestamp(F.col("DateTime")),
-            "Quantity_Clean": parse_quantity(F.col("Quantity")),
-        }
-    )
-    return stamped.withColumn("Date", F.to_date("DateTime_Parsed"))
+    return with_quantity(with_timestamp(sales)).withColumn("Date", F.to_date("DateTime_Parsed"))
 
 
 def missing_critical() -> Column:
@@ -38,12 +33,11 @@ def missing_critical() -> Column:
 def row_rules() -> list[Rule]:
     """Rules that need one parsed row only, in the order in which they apply."""
     quantity = F.col("Quantity_Clean")
-    negative = is_negative_quantity(F.col("Quantity"))
     return [
         (defaults.ERROR_FLAG, is_error_flag(F.col("Additional_Info"))),
         (defaults.NULL_FIELD, missing_critical()),
         (defaults.BAD_DATE, F.col("DateTime_Parsed").isNull()),
-        (defaults.NEGATIVE, quantity.isNull() & negative),
+        (defaults.NEGATIVE, F.col("is_negative")),
         (defaults.BAD_QUANTITY, quantity.isNull()),
         (defaults.ZERO, quantity == 0),
     ]
@@ -51,15 +45,17 @@ def row_rules() -> list[Rule]:
 
 def first_violation(rules: Sequence[Rule]) -> Column:
     """Reason of the first rule that holds, null if none does."""
-    reason = F.lit(None).cast("string")
-    for name, broken in reversed(rules):
-        reason = F.when(broken, F.lit(name)).otherwise(reason)
+    (name, broken), *later = rules
+    reason = F.when(broken, F.lit(name))
+    for name, broken in later:
+        reason = reason.when(broken, F.lit(name))
     return reason
 
 
 def tag_rows(sales: DataFrame) -> DataFrame:
     """Parse and tag by the row rules alone (also fits a streaming DataFrame)."""
-    return parse_sales(sales).withColumn(REASON, first_violation(row_rules()))
+    tagged = parse_sales(sales).withColumn(REASON, hold(first_violation(row_rules())))
+    return tagged.drop("is_negative")
 
 
 def tag_sales(sales: DataFrame, key: str = "Transaction_ID", order: str = "_ord") -> DataFrame:

@@ -5,8 +5,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larder.functions.dates import parse_timestamp
-from larder.functions.numbers import nan_to_null, parse_float
+from larder.functions.dates import with_timestamp
+from larder.functions.numbers import nan_to_null, parse_float, prepare
+from larder.functions.plan import hold
 from larder.functions.text import strip_ws
 from larder.operators.dims import entry_label, entry_value
 from larder.operators.ordered import lag_in_order
@@ -31,9 +32,10 @@ def explode_entries(records: DataFrame) -> DataFrame:
     )
 
 
-def record_date(col: Column) -> Column:
-    """Day of a record; slashes read month first, as a lone value has no context."""
-    return F.to_date(parse_timestamp(col, day_first=False))
+def with_record_date(records: DataFrame, target: str = "Date") -> DataFrame:
+    """Add the day of a record; slashes read month first, as a lone value has no context."""
+    dated = with_timestamp(records, "date", "_stamp", day_first=False)
+    return dated.withColumn(target, hold(F.to_date("_stamp"))).drop("_stamp")
 
 
 def flatten_stock(records: DataFrame) -> DataFrame:
@@ -42,22 +44,28 @@ def flatten_stock(records: DataFrame) -> DataFrame:
     A NaN count or delivery becomes null. The entry is kept, as it does exist.
     """
     entry = F.col("_entry")
-    count = parse_float(stock_text(entry))
-    delivered = entry_value(entry, "delivery_in")
-    delivery = F.when(delivered.isNull(), F.lit(0.0)).otherwise(parse_float(delivered))
-    return (
-        explode_entries(records.filter(record_date(F.col("date")).isNotNull()))
-        .select(
-            record_date(F.col("date")).alias("Date"),
-            strip_ws(entry_value(entry, "Item_ID")).alias("Item_ID"),
-            count.alias("stock_remaining"),
-            delivery.alias("delivery_in"),
-            entry_label(entry, "UoM").alias("UoM"),
-            "_ord",
-            "_pos",
-        )
-        .filter("Item_ID is not null and stock_remaining is not null and delivery_in is not null")
-        .withColumns({c: nan_to_null(F.col(c)) for c in ("stock_remaining", "delivery_in")})
+    dated = with_record_date(records, "_day").filter(F.col("_day").isNotNull())
+    texts = dated.select("_day", "_ord", F.posexplode("stock_entries").alias("_pos", "_entry")).select(
+        F.col("_day").alias("Date"),
+        strip_ws(entry_value(entry, "Item_ID")).alias("Item_ID"),
+        prepare(stock_text(entry)).alias("_count"),
+        prepare(F.coalesce(entry_value(entry, "delivery_in"), F.lit("0"))).alias("_delivery"),
+        entry_label(entry, "UoM").alias("UoM"),
+        "_ord",
+        "_pos",
+    )
+    numbers = texts.select(
+        "Date",
+        "Item_ID",
+        hold(parse_float(F.col("_count"))).alias("stock_remaining"),
+        hold(parse_float(F.col("_delivery"))).alias("delivery_in"),
+        "UoM",
+        "_ord",
+        "_pos",
+    )
+    kept = numbers.filter("Item_ID is not null and stock_remaining is not null and delivery_in is not null")
+    return kept.withColumns(
+        {c: nan_to_null(F.col(c)) for c in ("stock_remaining", "delivery_in")}
     )
 
 

@@ -22,14 +22,21 @@ class Sources:
 
 
 def load(
-    spark: SparkSession, sales: str, stock: str, inventory: str, menus: str, employees: str
+    spark: SparkSession,
+    sales: str,
+    stock: str,
+    inventory: str,
+    menus: str,
+    employees: str,
+    multi_line_csv: bool = True,
+    multi_line_json: bool = True,
 ) -> Sources:
     return Sources(
-        readers.read_sales(spark, sales),
-        readers.read_stock_records(spark, stock),
+        readers.read_sales(spark, sales, multi_line_csv),
+        readers.read_stock_records(spark, stock, multi_line_json),
         readers.read_inventory(spark, inventory),
-        readers.read_menus(spark, menus),
-        readers.read_employees(spark, employees),
+        readers.read_menus(spark, menus, multi_line_json),
+        readers.read_employees(spark, employees, multi_line_json),
     )
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from larder import defaults
-from larder.functions.numbers import nan_to_null, parse_float
+from larder.functions.numbers import nan_to_null, parse_float, prepare
 from larder.functions.text import null_if_token, strip_ws
 
 SALES_COLUMNS = (
@@ -100,15 +100,16 @@ def read_sales(spark: SparkSession, path: str, multi_line: bool = True) -> DataF
 
 def clean_inventory(raw: DataFrame) -> DataFrame:
     """Typed item list: items without id go, a bad threshold is 0."""
-    threshold = nan_to_null(parse_float(F.col("Min_Stock_Threshold")))
-    rows = normalise_nulls(raw, defaults.DIMENSION_NULLS, INVENTORY_COLUMNS)
-    return rows.dropna(subset=["Item_ID"]).withColumns(
+    rows = normalise_nulls(raw, defaults.DIMENSION_NULLS, INVENTORY_COLUMNS).dropna(subset=["Item_ID"])
+    staged = rows.withColumn("_text", prepare(F.col("Min_Stock_Threshold")))
+    staged = staged.withColumn("_text", parse_float(F.col("_text")))
+    return staged.withColumns(
         {
             "Item_ID": strip_ws(F.col("Item_ID")),
             "Item_Name": strip_ws(F.col("Item_Name")),
-            "Min_Stock_Threshold": F.coalesce(threshold, F.lit(0.0)),
+            "Min_Stock_Threshold": F.coalesce(nan_to_null(F.col("_text")), F.lit(0.0)),
         }
-    )
+    ).drop("_text")
 
 
 def read_inventory(spark: SparkSession, path: str) -> DataFrame:
@@ -116,13 +117,13 @@ def read_inventory(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _read_documents(
-    spark: SparkSession, path: str, field: str, element: T.StructType, mode: str
+    spark: SparkSession, path: str, field: str, element: T.StructType, mode: str, multi_line: bool
 ) -> DataFrame:
     """One row per element of the top-level array ``field`` of each document."""
     document = T.StructType([T.StructField(field, T.ArrayType(element))])
     return (
         spark.read.schema(document)
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("mode", mode)
         .json(path)
         .select(_place_in_file().alias("_doc"), F.posexplode(field).alias("_pos", "_element"))
@@ -143,14 +144,17 @@ def read_source(
     field: str,
     element: T.StructType,
     required: bool = True,
+    multi_line: bool = True,
 ) -> DataFrame:
     """A JSON source; a missing or broken one stops the run only if ``required``.
 
     A broken document of a required source fails the job. A broken document of an
-    optional one gives no rows, and a missing path gives an empty table.
+    optional one gives no rows, and a missing path gives an empty table. With
+    ``multi_line=False`` every line is a document, and big files can be split.
     """
     try:
-        return _read_documents(spark, path, field, element, "FAILFAST" if required else "PERMISSIVE")
+        mode = "FAILFAST" if required else "PERMISSIVE"
+        return _read_documents(spark, path, field, element, mode, multi_line)
     except AnalysisException:
         if required:
             raise
@@ -164,13 +168,13 @@ def read_source(
         return spark.createDataFrame([], T.StructType([*element.fields, T.StructField("_ord", place)]))
 
 
-def read_stock_records(spark: SparkSession, path: str) -> DataFrame:
-    return read_source(spark, path, "records", STOCK_RECORD)
+def read_stock_records(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    return read_source(spark, path, "records", STOCK_RECORD, multi_line=multi_line)
 
 
-def read_menus(spark: SparkSession, path: str) -> DataFrame:
-    return read_source(spark, path, "menu_items", MENU)
+def read_menus(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    return read_source(spark, path, "menu_items", MENU, multi_line=multi_line)
 
 
-def read_employees(spark: SparkSession, path: str) -> DataFrame:
-    return read_source(spark, path, "employees", EMPLOYEE, required=False)
+def read_employees(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    return read_source(spark, path, "employees", EMPLOYEE, False, multi_line)

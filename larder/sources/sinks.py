@@ -11,8 +11,10 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Write ``df`` as a folder of ``fmt`` files, with a header where it can have one."""
     writer = df.write.format(fmt)
     if fmt == "csv":
-        # A null and an empty text stay apart: the one is bare, the other quoted.
-        writer = writer.option("header", True).option("escape", '"').option("emptyValue", '""')
+        # Outer blanks stay, and an empty text is quoted where a null is bare.
+        for key in ("header", "ignoreLeadingWhiteSpace", "ignoreTrailingWhiteSpace"):
+            writer = writer.option(key, key == "header")
+        writer = writer.option("escape", '"')
     writer.save(path)
 
 

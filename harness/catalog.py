@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 from harness import inputs
 from harness.oracle import PIVOT_ITEMS
 from larder.functions import dates, numbers, text
-from larder.functions.plan import hold
 from larder.operators import (
     classify, consumption, dims, finance, forecast, profile, quality, quantiles, stock,
 )
 from larder.operators.ordered import flag_repeats
+from larder.operators.settle import settle
 from larder.plans import report as flows
 from larder.session import new_path, stage
 from larder.sources import readers, sinks
@@ -212,8 +212,10 @@ def s07_report_sink(c: Case) -> DataFrame:
     path = new_path(c.spark, "Action_Report")
     sinks.write_report(c.report, path)
     schema = _core_only(c.report).schema
-    # An empty note is a quoted empty text in the file and a null is a bare one.
-    return c.spark.read.schema(schema).option("header", True).option("escape", '"').csv(path)
+    # An empty note is a quoted empty text in the file and a null is a bare one; the
+    # reader tells them apart if the mark of a null is not itself the empty text.
+    read = c.spark.read.schema(schema).option("header", True).option("nullValue", "\x01")
+    return read.option("escape", '"').csv(path)
 
 
 def s08_quarantine_sink(c: Case) -> DataFrame:
@@ -280,7 +282,8 @@ def c08_parse_quantity(c: Case) -> DataFrame:
 
 
 def _where(df: DataFrame, test: Column, column: str) -> DataFrame:
-    return _counted(df.withColumn("_hit", hold(test)).filter("_hit").select(column))
+    hits = settle(df.withColumn("_hit", test), ["_hit"]).filter("_hit")
+    return _counted(hits.select(column))
 
 
 def c09_negative_quantity(c: Case) -> DataFrame:

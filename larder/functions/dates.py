@@ -34,11 +34,9 @@ _REWRITTEN = r"^\d{4}-\d{1,2}-\d{1,2}([ T]|$)"
 
 
 def _month_number(name: Column) -> Column:
-    pairs = []
-    for number, month in enumerate(defaults.MONTHS, start=1):
-        for spelling in dict.fromkeys((month, month[:3])):
-            pairs += [F.lit(spelling), F.lit(str(number))]
-    return F.try_element_at(F.create_map(*pairs), F.lower(name))
+    spellings = {s: n for n, m in enumerate(defaults.MONTHS, start=1) for s in (m, m[:3])}
+    pairs = ", ".join(f"'{spelling}', '{n}'" for spelling, n in spellings.items())
+    return F.try_element_at(F.expr(f"map({pairs})"), F.lower(name))
 
 
 def _as_iso(text: Column) -> Column:

@@ -58,8 +58,8 @@ def quantity_number(prepared: Column) -> Column:
 
 def quantity_word(prepared: Column, words: Mapping[str, int] = defaults.NUMBER_WORDS) -> Column:
     """Layer 2: the whole text is a number word."""
-    pairs = [F.lit(x) for word, n in words.items() for x in (word, float(n))]
-    return F.try_element_at(F.create_map(*pairs), prepared)
+    pairs = ", ".join(f"'{word}', {n}D" for word, n in words.items())
+    return F.try_element_at(F.expr(f"map({pairs})"), prepared)
 
 
 def quantity_in_text(prepared: Column) -> Column:

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from larder import defaults
 from larder.functions.numbers import is_finite, parse_float, prepare
-from larder.functions.plan import hold
 from larder.functions.text import strip_ws
+from larder.operators.settle import settle
 
 
 def entry_value(entry: Column, key: str) -> Column:
@@ -73,7 +73,7 @@ def thresholds(
 def flatten_menus(menus: DataFrame) -> DataFrame:
     """One row per menu and ingredient; unusable ingredients go, repeats stay."""
     part, quantity = F.col("_part"), F.col("qty_used")
-    return (
+    links = (
         menus.filter(F.col("Menu_ID") != "")
         .select("Menu_ID", F.explode("ingredients").alias("_part"))
         .select(
@@ -83,9 +83,9 @@ def flatten_menus(menus: DataFrame) -> DataFrame:
             entry_label(part, "UoM").alias("BOM_UoM"),
         )
         .withColumn("qty_used", parse_float(F.col("_text")))
-        .select("Menu_ID", "Item_ID", hold(F.when(is_finite(quantity), quantity)).alias("qty_used"), "BOM_UoM")
-        .dropna(subset=["Item_ID", "qty_used"])
+        .select("Menu_ID", "Item_ID", F.when(is_finite(quantity), quantity).alias("qty_used"), "BOM_UoM")
     )
+    return settle(links, links.columns).dropna(subset=["Item_ID", "qty_used"])
 
 
 def known_menus(bom: DataFrame) -> DataFrame:

@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 from larder import defaults
 from larder.functions.dates import date_class
 from larder.functions.numbers import parse_float, prepare
-from larder.functions.plan import hold
 from larder.functions.text import strip_ws
 from larder.operators.quality import REASON, value_shares
+from larder.operators.settle import settle
 
 
 def _text(name: str) -> Column:
@@ -48,7 +48,8 @@ def quantity_profile(sales: DataFrame) -> DataFrame:
 
 def with_date_class(sales: DataFrame) -> DataFrame:
     staged = sales.select("DateTime", _text("DateTime").alias("_text"))
-    return staged.select("DateTime", hold(date_class(F.col("_text"))).alias("format"))
+    named = staged.select("DateTime", date_class(F.col("_text")).alias("format"))
+    return settle(named, ["format"])
 
 
 def date_formats(sales: DataFrame) -> DataFrame:

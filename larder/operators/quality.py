@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from larder import defaults
 from larder.functions.dates import with_timestamp
 from larder.functions.numbers import with_quantity
-from larder.functions.plan import hold
 from larder.functions.text import is_error_flag, strip_ws
 from larder.operators.lookups import flag_missing
 from larder.operators.ordered import flag_repeats, keep_first
+from larder.operators.settle import settle
 
 REASON = "Quarantine_Reason"
 PARSED = ("DateTime_Parsed", "Date", "Quantity_Clean")
@@ -54,8 +54,8 @@ def first_violation(rules: Sequence[Rule]) -> Column:
 
 def tag_rows(sales: DataFrame) -> DataFrame:
     """Parse and tag by the row rules alone (also fits a streaming DataFrame)."""
-    tagged = parse_sales(sales).withColumn(REASON, hold(first_violation(row_rules())))
-    return tagged.drop("is_negative")
+    tagged = parse_sales(sales).withColumn(REASON, first_violation(row_rules()))
+    return settle(tagged.drop("is_negative"), [*PARSED, REASON])
 
 
 def tag_sales(sales: DataFrame, key: str = "Transaction_ID", order: str = "_ord") -> DataFrame:

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from larder.functions.dates import with_timestamp
 from larder.functions.numbers import nan_to_null, parse_float, prepare
-from larder.functions.plan import hold
 from larder.functions.text import strip_ws
 from larder.operators.dims import entry_label, entry_value
 from larder.operators.ordered import lag_in_order
+from larder.operators.settle import settle
 from larder.sources.readers import order_chunk
 
 
@@ -35,7 +35,7 @@ def explode_entries(records: DataFrame) -> DataFrame:
 def with_record_date(records: DataFrame, target: str = "Date") -> DataFrame:
     """Add the day of a record; slashes read month first, as a lone value has no context."""
     dated = with_timestamp(records, "date", "_stamp", day_first=False)
-    return dated.withColumn(target, hold(F.to_date("_stamp"))).drop("_stamp")
+    return settle(dated.withColumn(target, F.to_date("_stamp")).drop("_stamp"), [target])
 
 
 def flatten_stock(records: DataFrame) -> DataFrame:
@@ -57,13 +57,15 @@ def flatten_stock(records: DataFrame) -> DataFrame:
     numbers = texts.select(
         "Date",
         "Item_ID",
-        hold(parse_float(F.col("_count"))).alias("stock_remaining"),
-        hold(parse_float(F.col("_delivery"))).alias("delivery_in"),
+        parse_float(F.col("_count")).alias("stock_remaining"),
+        parse_float(F.col("_delivery")).alias("delivery_in"),
         "UoM",
         "_ord",
         "_pos",
     )
-    kept = numbers.filter("Item_ID is not null and stock_remaining is not null and delivery_in is not null")
+    typed = ["Item_ID", "stock_remaining", "delivery_in"]
+    kept = settle(numbers, typed).dropna(subset=["Item_ID"])
+    kept = kept.filter("stock_remaining is not null and delivery_in is not null")
     return kept.withColumns(
         {c: nan_to_null(F.col(c)) for c in ("stock_remaining", "delivery_in")}
     )

@@ -15,7 +15,7 @@ from larder.operators import (
 from larder.operators.ordered import flag_repeats
 from larder.operators.settle import settle
 from larder.plans import report as flows
-from larder.session import new_path, stage
+from larder.session import new_path, stage, tune
 from larder.sources import readers, sinks
 
 REASON = quality.REASON
@@ -29,7 +29,7 @@ class Case:
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
-        self.spark, self.sf_dir = spark, sf_dir
+        self.spark, self.sf_dir = tune(spark), sf_dir
 
     @cached_property
     def raw_sales(self) -> DataFrame:

@@ -9,6 +9,8 @@ sums do not depend on the order of addition.
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from larder.session import spread
+
 # Sales: one per line item. How dirty each field is follows from its keys.
 SALES = """
 with base as (
@@ -75,14 +77,12 @@ select
   case f_info when 0 then 'ERROR' when 1 then 'Err0r' when 2 then 'ROER, x' when 3 then 'TIMEOUT'
     when 4 then 'SYSERR' when 5 then ' #REF! ' when 6 then 'N/A' when 7 then 'undefined value'
     when 8 then '' when 9 then 'Inv4lid' else null end as Additional_Info,
-  l_shipdate, l_partkey, l_suppkey, l_extendedprice, l_quantity, l_discount, l_tax, l_returnflag
+  l_shipdate, l_partkey, l_suppkey, l_orderkey, l_linenumber, l_returnflag
 from base
 """
 
 # What orders sales that share an id: unique over the table.
-SALE_ORDER = (
-    "l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount", "l_tax",
-)
+SALE_ORDER = ("l_shipdate", "l_partkey", "l_suppkey", "l_orderkey", "l_linenumber")
 
 # Counts: one record per order date and urgency, one entry per customer group.
 STOCK_ENTRIES = """
@@ -185,13 +185,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _derive(spark: SparkSession, sf_dir: str, text: str, table: str) -> DataFrame:
-    return spark.sql(text, **{table: _table(spark, sf_dir, table)})
+def _derive(spark: SparkSession, sf_dir: str, text: str, table: str, *by: str) -> DataFrame:
+    rows = _table(spark, sf_dir, table)
+    return spark.sql(text, **{table: spread(rows, *by) if by else rows})
 
 
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw sales, all text, with their place and the data set they belong to."""
-    raw = _derive(spark, sf_dir, SALES, "lineitem")
+    raw = _derive(spark, sf_dir, SALES, "lineitem", "l_orderkey", "l_partkey", "l_suppkey")
     return raw.select(
         "Transaction_ID", "DateTime", "Employee_ID", "Menu_ID", "Item_Name", "Quantity",
         "Additional_Info", F.struct(*SALE_ORDER).alias("_ord"), F.col("l_returnflag").alias("dataset"),

@@ -43,7 +43,7 @@ def _as_iso(text: Column) -> Column:
     iso = text
     for spelling, template in REWRITES:
         iso = F.regexp_replace(iso, spelling, template)
-    return F.when(text.rlike(_ISO), text).otherwise(iso)
+    return iso
 
 
 def _name_to_number(iso: Column) -> Column:
@@ -73,13 +73,15 @@ def with_timestamp(
     impossible. All other digit dates read month first and turn to day first where
     that is impossible. Offsets are dropped and the wall clock is kept.
     """
-    text, iso, half = F.col("_text"), F.col("_iso"), F.col("_half")
+    written, text, iso, half = F.col(source), F.col("_text"), F.col("_iso"), F.col("_half")
     swap = text.rlike(_DAY_AND_MONTH)
     prefer_day = text.contains("/") & (half == "") if day_first else F.lit(False)
     other = F.when(swap, F.regexp_replace(F.col("_plain"), *_SWAP))
     low, high = (F.lit(x).cast("timestamp_ntz") for x in (earliest, latest))
     return (
-        df.withColumn("_text", strip_ws(F.col(source)))
+        # Most rows are ISO already. Their other columns here stay null.
+        df.withColumn("_ready", F.coalesce(written.rlike(_ISO), F.lit(False)))
+        .withColumn("_text", F.when(~F.col("_ready"), strip_ws(written)))
         .withColumn("_iso", _as_iso(text))
         .withColumn("_iso", _name_to_number(iso))
         .withColumn("_iso", F.when(iso.rlike(_REWRITTEN), iso))
@@ -94,8 +96,11 @@ def with_timestamp(
             ),
         )
         .withColumn("_one", _on_the_clock(F.col("_one"), half))
+        .withColumn(
+            "_one", F.when(F.col("_ready"), written.try_cast("timestamp_ntz")).otherwise(F.col("_one"))
+        )
         .withColumn(target, F.when(F.col("_one").between(low, high), F.col("_one")))
-        .drop("_text", "_iso", "_half", "_plain", "_one", "_two")
+        .drop("_ready", "_text", "_iso", "_half", "_plain", "_one", "_two")
     )
 
 

@@ -14,6 +14,7 @@ from larder.functions.text import strip_ws
 
 # try_cast alone would also take '5d', '5f' and '0x1p3'.
 _DECIMAL = r"^[+-]?(\d+(\.\d*)?|\.\d+)(e[+-]?\d+)?$"
+_DIGITS = r"^\d{1,15}$"
 _INFINITE = r"^[+-]?inf(inity)?$"
 _NOT_A_NUMBER = r"^[+-]?nan$"
 _FIRST_NUMBER = r"(\d+[.,]?\d*)"
@@ -81,19 +82,22 @@ def with_quantity(
     A text that is a number in whole never falls through to the later layers:
     layer 3 would read a sale of 7 out of the refund '-7'.
     """
-    text, number = F.col("_text"), F.col("_number")
+    written, text, number = F.col(source), F.col("_text"), F.col("_number")
     quantity = (
-        F.when(text.isin(*defaults.QUANTITY_BLANKS), None)
+        F.when(F.col("_ready"), written.try_cast("bigint").cast("double"))
+        .when(text.isin(*defaults.QUANTITY_BLANKS), None)
         .when(number.isNotNull(), F.when(is_finite(number) & (number >= 0), number))
         .otherwise(F.coalesce(quantity_word(text, words), quantity_in_text(text)))
     )
     return (
-        df.withColumn("_text", prepare(F.col(source)))
+        # Most rows are plain digits. Their other columns here stay null.
+        df.withColumn("_ready", F.coalesce(written.rlike(_DIGITS), F.lit(False)))
+        .withColumn("_text", F.when(~F.col("_ready"), prepare(written)))
         .withColumn("_point", F.translate(text, ",", "."))
         .withColumn("_number", parse_float(F.col("_point")))
         .withColumn(target, quantity.cast("double"))
         .withColumn(negative, F.coalesce(number < 0, F.lit(False)))
-        .drop("_text", "_point", "_number")
+        .drop("_ready", "_text", "_point", "_number")
     )
 
 

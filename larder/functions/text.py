@@ -1,5 +1,6 @@
 """Cleaning of free text."""
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -27,8 +28,5 @@ def null_if_token(col: Column, tokens: Sequence[str] = defaults.SALES_NULLS) ->
 
 def is_error_flag(col: Column, prefixes: Sequence[str] = defaults.ERROR_PREFIXES) -> Column:
     """True where the trimmed text starts with an error word; false for null."""
-    text = F.lower(strip_ws(col))
-    hit = F.lit(False)
-    for prefix in prefixes:
-        hit = hit | text.startswith(prefix)
-    return F.coalesce(hit, F.lit(False))
+    words = "|".join(re.escape(p) for p in prefixes)
+    return F.coalesce(strip_ws(col).rlike(f"(?i)^({words})"), F.lit(False))

@@ -30,10 +30,17 @@ def keep_first(
 
 
 def flag_repeats(
-    df: DataFrame, key: str, order: str = "_ord", flag: str = "is_duplicate"
+    df: DataFrame,
+    key: str,
+    order: str = "_ord",
+    flag: str = "is_duplicate",
+    among: DataFrame | None = None,
 ) -> DataFrame:
-    """Add ``flag``: an earlier row has the same key (nulls are equal)."""
-    places = first_places(df, key, order)
+    """Add ``flag``: an earlier row has the same key (nulls are equal).
+
+    ``among`` is the same table before costly columns were added to it.
+    """
+    places = first_places(df if among is None else among, key, order)
     joined = df.join(places, _same_place(df, places, key, order), "left")
     return joined.select(*[df[c] for c in df.columns], F.col("_first").isNull().alias(flag))
 

@@ -64,7 +64,7 @@ def tag_sales(sales: DataFrame, key: str = "Transaction_ID", order: str = "_ord"
     A repeated id outranks all other reasons, and the first occurrence counts even
     if it is itself rejected. Typed columns are filled as far as the row got.
     """
-    tagged = flag_repeats(tag_rows(sales), key, order, "_repeat")
+    tagged = flag_repeats(tag_rows(sales), key, order, "_repeat", among=sales)
     reason = F.when(F.col("_repeat"), F.lit(defaults.DUPLICATE)).otherwise(F.col(REASON))
     tagged = tagged.withColumn(REASON, reason).drop("_repeat")
     reached = F.col(REASON).isNull() | F.col(REASON).isin(*QUANTITY_REASONS)

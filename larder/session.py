@@ -5,13 +5,15 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 # What the plans here lean on: AQE turns joins with small sides into broadcast
-# joins at run time and splits the partitions of hot join keys.
+# joins at run time and splits the partitions of hot join keys. The JVM does not
+# compile methods of more than 8000 bytes, so longer generated ones are worse than
+# none: text parsers make them easily.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -22,6 +24,26 @@ def build_session(name: str = "larder", **settings: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """The same settings for a session that is already there."""
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
+def spread(df: DataFrame, *by: str) -> DataFrame:
+    """Deal rows out to all cores if their files come in fewer splits than that.
+
+    Parsing costs far more than reading, and a file that cannot be split would
+    keep it in one task. Big tables have more splits than cores and stay as they
+    are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *by)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it."""
     folder = spark.conf.get("spark.checkpoint.dir", None)

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from larder import defaults
 from larder.functions.numbers import nan_to_null, parse_float, prepare
 from larder.functions.text import null_if_token, strip_ws
+from larder.session import spread
 
 SALES_COLUMNS = (
     "Transaction_ID", "DateTime", "Employee_ID", "Menu_ID", "Item_Name",
@@ -93,9 +94,8 @@ def read_text_csv(
 
 
 def read_sales(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    return normalise_nulls(
-        read_text_csv(spark, path, SALES_COLUMNS, multi_line), columns=SALES_COLUMNS
-    )
+    rows = spread(read_text_csv(spark, path, SALES_COLUMNS, multi_line), "_ord")
+    return normalise_nulls(rows, columns=SALES_COLUMNS)
 
 
 def clean_inventory(raw: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder import defaults
+from larder.functions.steps import Steps, apply_steps
 from larder.functions.text import strip_ws
 
 EARLIEST = "1677-09-21 00:12:44"
@@ -40,10 +41,9 @@ def _month_number(name: Column) -> Column:
 
 
 def _as_iso(text: Column) -> Column:
-    iso = text
     for spelling, template in REWRITES:
-        iso = F.regexp_replace(iso, spelling, template)
-    return iso
+        text = F.regexp_replace(text, spelling, template)
+    return text
 
 
 def _name_to_number(iso: Column) -> Column:
@@ -59,49 +59,49 @@ def _on_the_clock(stamp: Column, half: Column) -> Column:
     return F.when(half == "", stamp).when(hour <= 12, moved)
 
 
-def with_timestamp(
-    df: DataFrame,
-    source: str = "DateTime",
-    target: str = "DateTime_Parsed",
+def timestamp_steps(
+    source: str,
+    target: str,
     day_first: bool = True,
     earliest: str = EARLIEST,
     latest: str = LATEST,
+) -> Steps:
+    written, text, iso, half = (F.col(c) for c in (source, "_t_text", "_t_iso", "_t_half"))
+    plain, one, two = (F.col(c) for c in ("_t_plain", "_t_one", "_t_two"))
+    other = F.when(text.rlike(_DAY_AND_MONTH), F.regexp_replace(plain, *_SWAP))
+    both = F.coalesce(one, two)
+    if day_first:
+        prefer_day = text.contains("/") & (half == "") & two.isNotNull()
+        both = F.when(prefer_day, two).otherwise(both)
+    low, high = (F.lit(x).cast("timestamp_ntz") for x in (earliest, latest))
+    as_is = F.when(text.isNull(), written.try_cast("timestamp_ntz"))
+    return [
+        # Most rows are ISO already: they have no text to work on.
+        {"_t_text": F.when(~written.rlike(_ISO), strip_ws(written))},
+        {"_t_iso": _as_iso(text)},
+        {"_t_iso": _name_to_number(iso)},
+        {
+            "_t_half": F.lower(F.regexp_extract(iso, "([AaPp])$", 1)),
+            "_t_plain": F.when(iso.rlike(_REWRITTEN), F.rtrim(iso, F.lit("AaPp"))),
+        },
+        {"_t_one": plain.try_cast("timestamp_ntz"), "_t_two": other.try_cast("timestamp_ntz")},
+        {"_t_one": both},
+        {"_t_one": F.coalesce(as_is, _on_the_clock(one, half))},
+        {target: F.when(one.between(low, high), one)},
+    ]
+
+
+def with_timestamp(
+    df: DataFrame, source: str = "DateTime", target: str = "DateTime_Parsed", **options
 ) -> DataFrame:
     """Add the timestamp_ntz that ``source`` spells, or null.
 
     ``day_first`` settles 24-hour slash dates: d/M, and M/d only where that is
     impossible. All other digit dates read month first and turn to day first where
-    that is impossible. Offsets are dropped and the wall clock is kept.
+    that is impossible. Offsets are dropped and the wall clock is kept. Times
+    outside ``earliest`` to ``latest`` are null.
     """
-    written, text, iso, half = F.col(source), F.col("_text"), F.col("_iso"), F.col("_half")
-    swap = text.rlike(_DAY_AND_MONTH)
-    prefer_day = text.contains("/") & (half == "") if day_first else F.lit(False)
-    other = F.when(swap, F.regexp_replace(F.col("_plain"), *_SWAP))
-    low, high = (F.lit(x).cast("timestamp_ntz") for x in (earliest, latest))
-    return (
-        # Most rows are ISO already. Their other columns here stay null.
-        df.withColumn("_ready", F.coalesce(written.rlike(_ISO), F.lit(False)))
-        .withColumn("_text", F.when(~F.col("_ready"), strip_ws(written)))
-        .withColumn("_iso", _as_iso(text))
-        .withColumn("_iso", _name_to_number(iso))
-        .withColumn("_iso", F.when(iso.rlike(_REWRITTEN), iso))
-        .withColumn("_half", F.lower(F.regexp_extract(iso, "([AaPp])$", 1)))
-        .withColumn("_plain", F.rtrim(iso, F.lit("AaPp")))
-        .withColumn("_one", F.col("_plain").try_cast("timestamp_ntz"))
-        .withColumn("_two", other.try_cast("timestamp_ntz"))
-        .withColumn(
-            "_one",
-            F.when(prefer_day & F.col("_two").isNotNull(), F.col("_two")).otherwise(
-                F.coalesce("_one", "_two")
-            ),
-        )
-        .withColumn("_one", _on_the_clock(F.col("_one"), half))
-        .withColumn(
-            "_one", F.when(F.col("_ready"), written.try_cast("timestamp_ntz")).otherwise(F.col("_one"))
-        )
-        .withColumn(target, F.when(F.col("_one").between(low, high), F.col("_one")))
-        .drop("_ready", "_text", "_iso", "_half", "_plain", "_one", "_two")
-    )
+    return apply_steps(df, timestamp_steps(source, target, **options))
 
 
 # Spelling classes of the source audit: first match wins.

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder import defaults
+from larder.functions.steps import Steps, apply_steps
 from larder.functions.text import strip_ws
 
 # try_cast alone would also take '5d', '5f' and '0x1p3'.
@@ -70,6 +71,28 @@ def quantity_in_text(prepared: Column) -> Column:
     return F.when(F.abs(number) < float("inf"), number)
 
 
+def quantity_steps(
+    source: str,
+    target: str,
+    negative: str,
+    words: Mapping[str, int] = defaults.NUMBER_WORDS,
+) -> Steps:
+    written, text, number = F.col(source), F.col("_q_text"), F.col("_q_number")
+    quantity = (
+        F.when(text.isNull(), written.try_cast("bigint").cast("double"))
+        .when(text.isin(*defaults.QUANTITY_BLANKS), None)
+        .when(number.isNotNull(), F.when(is_finite(number) & (number >= 0), number))
+        .otherwise(F.coalesce(quantity_word(text, words), quantity_in_text(text)))
+    )
+    return [
+        # Most rows are plain digits: they have no text to work on.
+        {"_q_text": F.when(~written.rlike(_DIGITS), prepare(written))},
+        {"_q_point": F.translate(text, ",", ".")},
+        {"_q_number": parse_float(F.col("_q_point"))},
+        {target: quantity, negative: F.coalesce(number < 0, F.lit(False))},
+    ]
+
+
 def with_quantity(
     df: DataFrame,
     source: str = "Quantity",
@@ -82,23 +105,7 @@ def with_quantity(
     A text that is a number in whole never falls through to the later layers:
     layer 3 would read a sale of 7 out of the refund '-7'.
     """
-    written, text, number = F.col(source), F.col("_text"), F.col("_number")
-    quantity = (
-        F.when(F.col("_ready"), written.try_cast("bigint").cast("double"))
-        .when(text.isin(*defaults.QUANTITY_BLANKS), None)
-        .when(number.isNotNull(), F.when(is_finite(number) & (number >= 0), number))
-        .otherwise(F.coalesce(quantity_word(text, words), quantity_in_text(text)))
-    )
-    return (
-        # Most rows are plain digits. Their other columns here stay null.
-        df.withColumn("_ready", F.coalesce(written.rlike(_DIGITS), F.lit(False)))
-        .withColumn("_text", F.when(~F.col("_ready"), prepare(written)))
-        .withColumn("_point", F.translate(text, ",", "."))
-        .withColumn("_number", parse_float(F.col("_point")))
-        .withColumn(target, quantity.cast("double"))
-        .withColumn(negative, F.coalesce(number < 0, F.lit(False)))
-        .drop("_ready", "_text", "_point", "_number")
-    )
+    return apply_steps(df, quantity_steps(source, target, negative, words))
 
 
 def round_whole(number: Column) -> Column:

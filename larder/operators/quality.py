@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder import defaults
-from larder.functions.dates import with_timestamp
-from larder.functions.numbers import with_quantity
+from larder.functions.dates import timestamp_steps
+from larder.functions.numbers import quantity_steps
+from larder.functions.steps import apply_steps
 from larder.functions.text import is_error_flag, strip_ws
 from larder.operators.lookups import flag_missing
 from larder.operators.ordered import flag_repeats, keep_first
@@ -22,7 +23,9 @@ Rule = tuple[str, Column]
 
 def parse_sales(sales: DataFrame) -> DataFrame:
     """Add the typed columns; each is null where its text cannot be read."""
-    return with_quantity(with_timestamp(sales)).withColumn("Date", F.to_date("DateTime_Parsed"))
+    stamp = timestamp_steps("DateTime", "DateTime_Parsed")
+    quantity = quantity_steps("Quantity", "Quantity_Clean", "is_negative")
+    return apply_steps(sales, stamp, quantity).withColumn("Date", F.to_date("DateTime_Parsed"))
 
 
 def missing_critical() -> Column:

@@ -38,8 +38,8 @@ def main() -> None:
         known[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         return time.perf_counter() - start
 
-    run("a01_key_profile")  # start-up of the JVM is not part of the numbers
-    seconds = {name: round(run(name), 3) for name in HEADLINE}
+    # The first run of a query also compiles its code, so the faster of two counts.
+    seconds = {name: round(min(run(name), run(name)), 3) for name in HEADLINE}
     print(
         json.dumps(
             {

@@ -14,8 +14,9 @@ Steps = Sequence[dict[str, Column]]
 
 
 def apply_steps(df: DataFrame, *parsers: Steps) -> DataFrame:
-    """Add the columns of all parsers; helper columns (with '_' in front) go again."""
-    before = set(df.columns)
+    """Add the columns of all parsers; what only their earlier steps add goes again."""
+    results = {name for parser in parsers for name in parser[-1]}
+    helpers = {name for parser in parsers for step in parser for name in step} - results
     for step in zip_longest(*parsers, fillvalue={}):
         df = df.withColumns({name: col for part in step for name, col in part.items()})
-    return df.drop(*[c for c in df.columns if c.startswith("_") and c not in before])
+    return df.drop(*helpers)

@@ -1,5 +1,7 @@
 """Session settings and the shared folder for tables that are read twice."""
 
+import functools
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,9 +46,19 @@ def spread(df: DataFrame, *by: str) -> DataFrame:
     return df.repartition(cores, *by)
 
 
+@functools.cache
+def _own_dir() -> str:
+    return tempfile.mkdtemp(prefix="larder-")
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors can reach, as the cluster names it."""
+    """The folder all executors can reach, as the cluster names it.
+
+    Only a local session, whose executors are this machine, may go without.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and spark.sparkContext.master.startswith("local"):
+        folder = _own_dir()
     if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
     return folder.rstrip("/")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder.functions.numbers import round_tenths
+from larder.operators.settle import settle
 
 MEAN = "Avg_7d_Consumption"
 
@@ -71,11 +72,9 @@ def to_long(wide: DataFrame, items: Sequence[str], value: str = MEAN) -> DataFra
     return wide.unpivot(["Date"], list(items), "Item_ID", value)
 
 
-def days_to_stockout() -> Column:
+def days_to_stockout(gap: Column, mean: Column, days: Column) -> Column:
     """Days until the reorder level is reached, to one decimal; 0 if it already is."""
-    gap = F.col("Physical_Stock") - F.col("Min_Threshold")
-    mean = F.col(MEAN)
-    left = F.when(gap <= 0, F.lit(0.0)).otherwise(round_tenths(F.try_divide(gap, mean)))
+    left = F.when(gap <= 0, F.lit(0.0)).otherwise(round_tenths(days))
     return F.when(gap.isNotNull() & (mean > 0), left)
 
 
@@ -92,6 +91,12 @@ def urgency() -> Column:
 
 def add_stockout(report: DataFrame) -> DataFrame:
     """Days and urgency. Rows of unknown menus have no count and so no days."""
-    return report.withColumn("Days_to_Stockout", days_to_stockout()).withColumn(
-        "Restock_Urgency", urgency()
+    gap, mean = F.col("_gap"), F.col(MEAN)
+    stepped = (
+        report.withColumn("_gap", F.col("Physical_Stock") - F.col("Min_Threshold"))
+        .withColumn("_days", F.try_divide(gap, mean))
+        .withColumn("Days_to_Stockout", days_to_stockout(gap, mean, F.col("_days")))
+        .withColumn("Restock_Urgency", urgency())
+        .drop("_gap", "_days")
     )
+    return settle(stepped, ["Days_to_Stockout", "Restock_Urgency"])

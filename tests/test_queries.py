@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
-from harness import inputs
+from harness import catalog, inputs, oracle
 
 DIR = "/root/testdata/sf0.001"
 SAMPLE = [
@@ -41,7 +41,7 @@ def test_query_equals_sql(spark, duck, name):
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(catalog.queries()) == set(oracle.oracle_sql())
 
 
 @pytest.mark.parametrize("size", ["sf0.001", "sf0.01", "sf0.1"])

@@ -4,12 +4,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import quality_rules
+from larder.llm import quality_rules, secret_scan
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_quality_rules": quality_rules.op3_quality_rules,
+        "op8_secret_scan": secret_scan.op8_secret_scan,
     }
 
 

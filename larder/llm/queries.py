@@ -4,12 +4,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import quality_rules, secret_scan
+from larder.llm import bpe, quality_rules, secret_scan, token_counts
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_token_counts": token_counts.op2_token_counts,
         "op3_quality_rules": quality_rules.op3_quality_rules,
+        "op5_bpe": bpe.op5_bpe,
         "op8_secret_scan": secret_scan.op8_secret_scan,
     }
 

@@ -4,11 +4,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import bpe, embedding_dedup, mixing, quality_rules, secret_scan, sharding, simhash_dedup, token_counts
+from larder.llm import bpe, embedding_dedup, mixing, quality_rules, secret_scan, sharding, simhash_dedup, substring_dedup, token_counts
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_substring_dedup": substring_dedup.op1_substring_dedup,
         "op2_token_counts": token_counts.op2_token_counts,
         "op3_quality_rules": quality_rules.op3_quality_rules,
         "op5_bpe": bpe.op5_bpe,

@@ -334,8 +334,19 @@ def with_ids(docs: DataFrame, path: str | None = None, words: int = WORDS, batch
     A null text has no ids and decodes to the empty text. ``path`` is the tokenizer's file,
     which must be there on every executor; by default that of the installed package.
     """
-    return _coded(docs, path, words, batch, "doc_id long, ids array<int>, decoded string", lambda ids, back: [
-        pa.array([np.frombuffer(i, dtype="<i4") for i in ids], type=pa.list_(pa.int32())), pa.array([b.decode() for b in back], type=pa.string())])
+    return _coded(docs, path, words, batch, "doc_id long, ids array<int>, decoded string",
+                  lambda texts, ids, back: [_arrays(ids), pa.array([b.decode() for b in back], type=pa.string())])
+
+
+def encoded(docs: DataFrame, path: str | None = None, words: int = WORDS, batch: int = 256) -> DataFrame:
+    """``doc_id``, ``n_tokens``, ``ids`` and ``exact``, whether the ids decode to the text, of every row."""
+    return _coded(docs, path, words, batch, "doc_id long, n_tokens long, ids array<int>, exact boolean", lambda texts, ids, back: [
+        pa.array([len(i) // 4 for i in ids], type=pa.int64()), _arrays(ids), pa.array([(t or "").encode() == b for t, b in zip(texts, back)])])
+
+
+def _arrays(ids: list[bytes]) -> pa.ListArray:
+    values = pa.array(np.frombuffer(b"".join(ids), dtype="<i4"))
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *(len(i) // 4 for i in ids)]).astype(np.int32)), values)
 
 
 def _coded(docs: DataFrame, path: str | None, words: int, batch: int, schema: str, shape) -> DataFrame:
@@ -349,9 +360,10 @@ def _coded(docs: DataFrame, path: str | None, words: int, batch: int, schema: st
         for rows in batches:
             for at in range(0, rows.num_rows, batch):
                 part = rows.slice(at, batch)
-                ids = encoder.encode(part.column("text").to_pylist())
+                texts = part.column("text").to_pylist()
+                ids = encoder.encode(texts)
                 back = [encoder.decode(i) for i in ids]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *shape(ids, back)], names=names)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *shape(texts, ids, back)], names=names)
 
     return docs.mapInArrow(run, schema)
 
@@ -360,4 +372,4 @@ def op5_bpe(spark, sf_dir: str) -> DataFrame:
     """Digests of the ids of every document and of the text that they give back."""
     sha = lambda values: pa.array([hashlib.sha256(v).hexdigest() for v in values])
     return _coded(table(spark, sf_dir, "documents"), None, WORDS, 256, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string",
-                  lambda ids, back: [pa.array([len(i) // 4 for i in ids], type=pa.int64()), sha(ids), sha(back)])
+                  lambda texts, ids, back: [pa.array([len(i) // 4 for i in ids], type=pa.int64()), sha(ids), sha(back)])

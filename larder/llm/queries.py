@@ -2,9 +2,10 @@
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import bpe, embedding_dedup, mixing, quality_rules, secret_scan, sharding, simhash_dedup, substring_dedup, token_counts
+from larder.llm import bpe, embedding_dedup, lm_scoring, mixing, quality_rules, secret_scan, sharding, simhash_dedup, substring_dedup, token_counts
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -12,12 +13,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_substring_dedup": substring_dedup.op1_substring_dedup,
         "op2_token_counts": token_counts.op2_token_counts,
         "op3_quality_rules": quality_rules.op3_quality_rules,
+        "op4_lm_scoring": lm_scoring.op4_lm_scoring,
         "op5_bpe": bpe.op5_bpe,
         "op6_sharding": sharding.op6_sharding,
         "op7_simhash": simhash_dedup.op7_simhash,
         "op8_secret_scan": secret_scan.op8_secret_scan,
         "op9_mixing": mixing.op9_mixing,
         "op10_embedding_dedup": embedding_dedup.op10_embedding_dedup,
+        "pipeline": corpus_pipeline.run,
     }
 
 

@@ -183,10 +183,9 @@ def mix(docs: DataFrame) -> DataFrame:
     A document of which it takes a part comes with those words alone and ``n_chars``
     counted anew. Rows without words are not taken.
     """
-    size = n_words(F.col("text"))
-    placed = place(docs, fit(docs, size), size)
-    passes = placed.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "mix",
-                           F.explode(F.sequence(F.lit(1), F.lit(REPEATS))).alias("pass"))
+    sources = fit(docs, n_words(F.col("text")))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", "source", n_words(F.col("text")).alias("size"))
+    passes = place(rows, sources, F.col("size")).select("row", "mix", F.explode(F.sequence(F.lit(1), F.lit(REPEATS))).alias("pass"))
     chosen = F.filter("mix.runs", lambda x: x["times"] >= F.col("pass"))
     passes = passes.where(F.size("mix.runs") > 0).withColumn("chosen", chosen).where(F.size("chosen") > 0)
     passes = settle(passes.withColumn("whole", F.size("chosen") == F.size("mix.runs")), ["chosen", "whole"])

@@ -153,8 +153,10 @@ def mask(docs: DataFrame) -> DataFrame:
     """
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", "text")
     linked = stage(link(scan(docs.select("doc_id", "text")).select("found")))
-    found = settle(with_spans(scan(rows), linked), ["found"])
-    piece = lambda start, length: F.substr(F.col("text"), start + 1, length)
+    # the text travels once, in its row
+    found = settle(with_spans(scan(rows).select("row", "doc_id", "found"), linked), ["found"])
+    text = F.col("row.text")
+    piece = lambda start, length: F.substr(text, start + 1, length)
 
     def cut(acc: Column, x: Column) -> Column:
         fresh = F.concat(acc["out"], F.array(piece(acc["at"], x["start"] - acc["at"]), F.lit(MASK)))
@@ -162,8 +164,7 @@ def mask(docs: DataFrame) -> DataFrame:
 
     start = F.struct(F.array().cast("array<string>").alias("out"), F.lit(0).alias("at"))
     masked = F.aggregate("found.spans", start, cut, lambda acc: F.concat(
-        F.array_join(acc["out"], ""), piece(acc["at"], F.length("text"))))
-    text = F.when(F.size("found.spans") > 0, masked).otherwise(F.col("text"))
-    found = settle(found.select("row", text.alias("masked")), ["masked"])
+        F.array_join(acc["out"], ""), piece(acc["at"], F.length(text))))
+    found = settle(found.select("row", F.when(F.size("found.spans") > 0, masked).otherwise(text).alias("masked")), ["masked"])
     new = {"text": F.col("masked"), "n_chars": F.when(F.col("masked").eqNullSafe(F.col("row.text")), F.col("row.n_chars")).otherwise(F.length("masked").cast("long"))}
     return found.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])

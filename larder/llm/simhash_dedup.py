@@ -134,6 +134,8 @@ def keep_first(docs: DataFrame) -> DataFrame:
     """
     prints = stage(with_fingerprint(docs))
     firsts = stage(classes(prints)).select(F.col("component_id").alias("first")).distinct()
-    rows = docs.join(firsts, F.col("doc_id").eqNullSafe(F.col("first")), "left_semi")
-    ids = rows.groupBy(F.col("doc_id").alias("i")).agg(F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("row"))
-    return ids.select("row.*")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("id"))
+    rows = rows.join(firsts, F.col("id").eqNullSafe(F.col("first")), "left_semi")
+    # maps have no order
+    by = F.struct(*[F.col(f"row.`{c}`") for c, kind in docs.dtypes if "map<" not in kind])
+    return rows.groupBy("id").agg(F.min_by("row", by).alias("row")).select("row.*")

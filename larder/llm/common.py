@@ -33,6 +33,25 @@ def without(text: Column, chars: str) -> Column:
     return text
 
 
+class Aside:
+    """The columns of a table under names of their own, out of the way of those that an operator adds.
+
+    ``rows`` has them, and those asked for under their own names; ``back`` gives any table that
+    still has them their names again, with ``extra`` columns behind and ``new`` ones in place.
+    """
+
+    def __init__(self, docs: DataFrame, *asked: str):
+        self.columns = docs.columns
+        self.names = [f"_{i}_" for i in range(len(docs.columns))]
+        own = dict(zip(reversed(self.columns), reversed(self.names)))
+        self.own = lambda c: F.col(own[c])
+        self.rows = docs.toDF(*self.names).select(*self.names, *[self.own(c).alias(c) for c in asked])
+
+    def back(self, df: DataFrame, *extra: str, **new: Column) -> DataFrame:
+        kept = [new.get(c, F.col(n)).alias(c) for c, n in zip(self.columns, self.names)]
+        return df.select(*kept, *extra)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new folder below the one the cluster names in spark.checkpoint.dir.
 

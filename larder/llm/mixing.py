@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 from pyspark.sql.window import Window
 
-from larder.llm.common import WORD, n_words, stage, table
+from larder.llm.common import WORD, Aside, n_words, stage, table
 from larder.operators.settle import settle
 
 # Fixed by the contract: weights in turn, the budget's share of all words, the most repeats.
@@ -125,8 +125,9 @@ def place(docs: DataFrame, sources: DataFrame, size: Column, seed: int = SEED, l
     starts = lot_sums.withColumn("lot_start", F.coalesce(F.sum("sum").over(before), F.lit(0))).join(
         sources.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).select(
         F.struct("source", "lot", "lot_start", "source_size", "target", "length", "blocks", "quotas", "step", "shift").alias("plan"))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("source").alias("source"),
-                       F.col("doc_id").alias("doc_id"), size.alias("size"), order.alias("order"), lot.alias("lot"))
+    aside = Aside(docs.withColumn("_size", size), "source", "doc_id", "_size")
+    rows = aside.rows.withColumnRenamed("_size", "size")
+    rows = rows.withColumn("order", order).withColumn("lot", F.pmod(F.xxhash64(F.lit(seed + 1), F.col("doc_id"), F.col("size")), F.lit(lots)))
     rows = rows.join(starts, F.col("source").eqNullSafe(F.col("plan.source")) & (F.col("lot") == F.col("plan.lot")))
     within = Window.partitionBy("source", "lot").orderBy("order", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     start = F.col("plan.lot_start") + F.sum("size").over(within) - F.col("size")
@@ -146,8 +147,8 @@ def place(docs: DataFrame, sources: DataFrame, size: Column, seed: int = SEED, l
     runs = F.when(F.col("size") > 0, F.transform(F.sequence(first, last), run)).otherwise(
         F.array().cast("array<struct<low:long,high:long,times:long>>"))
     rows = rows.withColumn("quota", quota)
-    return rows.select("row.*", F.struct("size", "start", F.col("plan.source_size").alias("source_size"),
-                                         F.col("plan.target").alias("target"), runs.alias("runs")).alias("mix"))
+    mix = F.struct("size", "start", F.col("plan.source_size").alias("source_size"), F.col("plan.target").alias("target"), runs.alias("runs"))
+    return aside.back(rows.withColumn("mix", mix), "mix").drop("_size")
 
 
 def op9_mixing(spark, sf_dir: str) -> DataFrame:
@@ -184,13 +185,13 @@ def mix(docs: DataFrame) -> DataFrame:
     counted anew. Rows without words are not taken.
     """
     sources = fit(docs, n_words(F.col("text")))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", "source", n_words(F.col("text")).alias("size"))
-    passes = place(rows, sources, F.col("size")).select("row", "mix", F.explode(F.sequence(F.lit(1), F.lit(REPEATS))).alias("pass"))
+    aside = Aside(docs, "doc_id", "source", "text")
+    rows = aside.rows.withColumn("size", n_words(F.col("text"))).drop("text")
+    passes = place(rows, sources, F.col("size")).select(*aside.names, "mix", F.explode(F.sequence(F.lit(1), F.lit(REPEATS))).alias("pass"))
     chosen = F.filter("mix.runs", lambda x: x["times"] >= F.col("pass"))
     passes = passes.where(F.size("mix.runs") > 0).withColumn("chosen", chosen).where(F.size("chosen") > 0)
     passes = settle(passes.withColumn("whole", F.size("chosen") == F.size("mix.runs")), ["chosen", "whole"])
-    cut = _cut(F.when(~F.col("whole"), F.col("row.text")), F.when(~F.col("whole"), F.col("chosen")))
+    cut = _cut(F.when(~F.col("whole"), aside.own("text")), F.when(~F.col("whole"), F.col("chosen")))
     passes = passes.withColumn("cut", cut)
-    new = {"text": F.coalesce("cut", "row.text"),
-           "n_chars": F.when(F.col("cut").isNull(), F.col("row.n_chars")).otherwise(F.length("cut").cast("long"))}
-    return passes.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+    n_chars = F.when(F.col("cut").isNull(), aside.own("n_chars")).otherwise(F.length("cut").cast("long"))
+    return aside.back(passes, text=F.coalesce(F.col("cut"), aside.own("text")), n_chars=n_chars)

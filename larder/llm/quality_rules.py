@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from larder.llm.common import SEPARATORS, stage, table, without, words
+from larder.llm.common import SEPARATORS, Aside, stage, table, without, words
 from larder.operators.settle import settle
 
 WINDOW = 8
@@ -38,8 +38,9 @@ def measure(docs: DataFrame) -> DataFrame:
     solid = without(text, SEPARATORS)
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike("[^ \\x09-\\x0D]"))
     width = WINDOW
-    parts = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
+    aside = Aside(docs, "text", "lang")
+    parts = aside.rows.select(
+        *aside.names,
         F.coalesce(F.col("lang"), F.lit("")).alias("stratum"), words(F.col("text")).alias("words"), lines.alias("lines"),
         F.length(solid).cast("long").alias("word_chars"),
         (F.length(text) - F.length(without(text, SYMBOLS))).cast("long").alias("n_symbols"),
@@ -70,7 +71,7 @@ def measure(docs: DataFrame) -> DataFrame:
     n_lines = F.size("lines")
     n_dup = (n_lines - F.size(F.array_distinct("lines"))).cast("long")
     measures = steps.select(
-        "doc",
+        *aside.names,
         F.struct(
             "stratum", n.alias("n_words"), "word_chars", "n_symbols", n_dup.alias("n_dup_lines"),
             F.col("n_repeat").alias("n_repeat_words"),
@@ -79,7 +80,7 @@ def measure(docs: DataFrame) -> DataFrame:
                     share(F.col("n_repeat"), n), share(F.col("n_loud"), F.col("word_chars"))).alias("shares"),
         ).alias("q"),
     )
-    return settle(measures, ["q"]).select("doc.*", "q")
+    return aside.back(settle(measures, ["q"]), "q")
 
 
 def binomial_cdf(k: Column, n: Column, p: float) -> Column:
@@ -168,6 +169,5 @@ def op3_quality_rules(spark, sf_dir: str) -> DataFrame:
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the rules keep, columns as they came."""
     cutoffs = stage(fit_cutoffs(measure(docs.select("doc_id", "text", "lang")).select("doc_id", "q"), labels))
-    marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-                         "doc_id", "text", "lang")
-    return judge(measure(marked), cutoffs).where("q.kept").select("row.*")
+    aside = Aside(docs, "doc_id", "text", "lang")
+    return aside.back(judge(measure(aside.rows), cutoffs).where("q.kept"))

@@ -11,7 +11,7 @@ bucket holds a bounded number of them and the join stays linear in the text.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import stage, table
+from larder.llm.common import Aside, stage, table
 from larder.operators.settle import settle
 
 SCOPE = 200
@@ -74,8 +74,8 @@ def scan(docs: DataFrame) -> DataFrame:
     Null and empty texts have no spans. Spans are (start, kind, end), kind by its place
     in ``KINDS``, sorted.
     """
-    df = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
-                     F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    aside = Aside(docs, "text")
+    df = aside.rows.withColumn("text", F.coalesce("text", F.lit("")))
     patterns = {k: p for k, p in (STRONG | WEAK).items() if k != "short"}
     for name, pattern in patterns.items():
         df = _with_matches(df, name, pattern)
@@ -88,8 +88,8 @@ def scan(docs: DataFrame) -> DataFrame:
     strong = F.sort_array(F.concat(*[spans(k) for k in STRONG]))
     weak = F.sort_array(F.concat(*[spans(k) for k in WEAK]))
     key = F.when(F.size(F.concat(*[F.col(k) for k in patterns])) > 1, F.sha2("text", 256))
-    return settle(df.select("doc", F.struct(strong.alias("strong"), weak.alias("weak"), key.alias("key")).alias("found")),
-                  ["found"]).select("doc.*", "found")
+    found = F.struct(strong.alias("strong"), weak.alias("weak"), key.alias("key"))
+    return aside.back(settle(df.select(*aside.names, found.alias("found")), ["found"]), "found")
 
 
 def link(scanned: DataFrame, scope: int = SCOPE) -> DataFrame:
@@ -151,11 +151,11 @@ def mask(docs: DataFrame) -> DataFrame:
     Null texts stay null; texts without spans stay as they are. Overlapping spans share
     one mark.
     """
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", "text")
     linked = stage(link(scan(docs.select("doc_id", "text")).select("found")))
+    aside = Aside(docs, "doc_id", "text")
     # the text travels once, in its row
-    found = settle(with_spans(scan(rows).select("row", "doc_id", "found"), linked), ["found"])
-    text = F.col("row.text")
+    found = settle(with_spans(scan(aside.rows).drop("text"), linked), ["found"])
+    text = aside.own("text")
     piece = lambda start, length: F.substr(text, start + 1, length)
 
     def cut(acc: Column, x: Column) -> Column:
@@ -165,6 +165,6 @@ def mask(docs: DataFrame) -> DataFrame:
     start = F.struct(F.array().cast("array<string>").alias("out"), F.lit(0).alias("at"))
     masked = F.aggregate("found.spans", start, cut, lambda acc: F.concat(
         F.array_join(acc["out"], ""), piece(acc["at"], F.length(text))))
-    found = settle(found.select("row", F.when(F.size("found.spans") > 0, masked).otherwise(text).alias("masked")), ["masked"])
-    new = {"text": F.col("masked"), "n_chars": F.when(F.col("masked").eqNullSafe(F.col("row.text")), F.col("row.n_chars")).otherwise(F.length("masked").cast("long"))}
-    return found.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+    found = settle(found.withColumn("masked", F.when(F.size("found.spans") > 0, masked).otherwise(text)), ["masked"])
+    n_chars = F.when(F.col("masked").eqNullSafe(text), aside.own("n_chars")).otherwise(F.length("masked").cast("long"))
+    return aside.back(found, text=F.col("masked"), n_chars=n_chars)

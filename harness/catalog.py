@@ -7,7 +7,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harness import inputs
-from harness.oracle import PIVOT_ITEMS
 from larder.functions import dates, numbers, text
 from larder.operators import (
     classify, consumption, dims, finance, forecast, profile, quality, quantiles, stock,
@@ -15,7 +14,7 @@ from larder.operators import (
 from larder.operators.ordered import flag_repeats
 from larder.operators.settle import settle
 from larder.plans import report as flows
-from larder.session import new_path, stage, tune
+from larder.session import new_path, stage
 from larder.sources import readers, sinks
 
 REASON = quality.REASON
@@ -29,7 +28,7 @@ class Case:
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
-        self.spark, self.sf_dir = tune(spark), sf_dir
+        self.spark, self.sf_dir = spark, sf_dir
 
     @cached_property
     def raw_sales(self) -> DataFrame:
@@ -304,13 +303,13 @@ def c12_valid_sales(c: Case) -> DataFrame:
 
 
 def c13_unknown_menus(c: Case) -> DataFrame:
-    flagged = quality.flag_unknown_menus(c.clean.select("Menu_ID"), c.known_menus)
-    return _counted(flagged)
+    flagged = quality.flag_unknown_menus(_counted(c.clean.select("Menu_ID")), c.known_menus)
+    return flagged.groupBy("Menu_ID", "is_ghost_menu").agg(F.sum("rows").alias("rows"))
 
 
 def c14_unknown_employees(c: Case) -> DataFrame:
-    flagged = quality.flag_unknown_employees(c.clean.select("Employee_ID"), c.known_employees)
-    return _counted(flagged)
+    flagged = quality.flag_unknown_employees(_counted(c.clean.select("Employee_ID")), c.known_employees)
+    return flagged.groupBy("Employee_ID", "is_unknown_employee").agg(F.sum("rows").alias("rows"))
 
 
 def c15_tagged_sales(c: Case) -> DataFrame:
@@ -403,10 +402,9 @@ def d08_no_recipe(c: Case) -> DataFrame:
 
 
 def j01_known_sales(c: Case) -> DataFrame:
-    flagged = quality.flag_unknown_menus(c.clean.select("Menu_ID", "Quantity_Clean"), c.known_menus)
-    return consumption.drop_unknown_menus(flagged).groupBy("Menu_ID").agg(
-        F.count("*").alias("rows"), F.sum("Quantity_Clean").alias("quantity")
-    )
+    menus = c.clean.groupBy("Menu_ID").agg(F.count("*").alias("rows"), F.sum("Quantity_Clean").alias("quantity"))
+    known = consumption.drop_unknown_menus(quality.flag_unknown_menus(menus, c.known_menus))
+    return known.groupBy("Menu_ID").agg(F.sum("rows").alias("rows"), F.sum("quantity").alias("quantity"))
 
 
 def _menu_sales(c: Case, *columns: str) -> DataFrame:
@@ -414,8 +412,8 @@ def _menu_sales(c: Case, *columns: str) -> DataFrame:
 
 
 def j02_expand_recipes(c: Case) -> DataFrame:
-    expanded = consumption.expand_recipes(_menu_sales(c), c.bom)
-    return _counted(expanded.select("Menu_ID", "Item_ID"))
+    expanded = consumption.expand_recipes(_counted(_menu_sales(c)), c.bom)
+    return expanded.groupBy("Menu_ID", "Item_ID").agg(F.sum("rows").alias("rows"))
 
 
 def j03_consumed(c: Case) -> DataFrame:
@@ -532,7 +530,7 @@ def k09_sorted_report(c: Case) -> DataFrame:
 
 
 def b01_dense_grid(c: Case) -> DataFrame:
-    return forecast.dense_grid(c.used)
+    return forecast.day_runs(c.used)
 
 
 def b02_trailing_mean(c: Case) -> DataFrame:
@@ -541,15 +539,13 @@ def b02_trailing_mean(c: Case) -> DataFrame:
 
 
 def b03_unpivot(c: Case) -> DataFrame:
-    means = forecast.trailing_mean(c.used, forecast.dense_grid(c.used).select("Date", "Item_ID"))
-    items = [r["Item_ID"] for r in c.bom.select("Item_ID").distinct().collect()]
-    used = [r["Item_ID"] for r in c.used.select("Item_ID").distinct().collect()]
-    wide = forecast.to_wide(means, [i for i in items if i in set(used)], forecast.MEAN)
-    return forecast.to_long(wide, [i for i in items if i in set(used)])
+    means = forecast.trailing_mean(c.used, forecast.active_days(c.used))
+    long = forecast.to_long(forecast.to_wide(means, inputs.ITEMS, forecast.MEAN), inputs.ITEMS)
+    return long.filter(F.col(forecast.MEAN) != 0)
 
 
 def b03w_pivot(c: Case) -> DataFrame:
-    return forecast.to_wide(forecast.dense_grid(c.used), PIVOT_ITEMS)
+    return forecast.to_wide(c.used, inputs.ITEMS)
 
 
 def b04_attach_forecast(c: Case) -> DataFrame:

@@ -181,13 +181,18 @@ from {supplier}
 """
 
 
+# The items that the derived recipes use, for tables with a column per item.
+ITEMS = [f"INV-{n:04d}" for n in range(1, 41)]
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _derive(spark: SparkSession, sf_dir: str, text: str, table: str, *by: str) -> DataFrame:
     rows = _table(spark, sf_dir, table)
-    return spark.sql(text, **{table: spread(rows, *by) if by else rows})
+    cores = spark.sparkContext.defaultParallelism
+    return spark.sql(text, **{table: spread(rows, cores, *by) if by else rows})
 
 
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:

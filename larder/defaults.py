@@ -103,3 +103,8 @@ TRIAGE = (
     (BAD_DATE, "UNRECOVERABLE", "NONE"),
     (BAD_QUANTITY, "UNRECOVERABLE", "NONE"),
 )
+
+# Spelling classes of dates in the source audit, in the order in which they apply.
+DATE_CLASSES = (
+    "ISO YYYY-MM-DD HH:MM:SS", "DD/MM/YYYY", "Month DD YYYY", "Compact 12-digit", "MM-DD-YYYY AM/PM",
+)

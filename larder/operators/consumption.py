@@ -4,7 +4,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.functions.text import strip_ws
-from larder.operators.lookups import join_dimension
 
 
 def drop_unknown_menus(flagged: DataFrame, flag: str = "is_ghost_menu") -> DataFrame:
@@ -25,7 +24,7 @@ def sales_by_menu_day(clean: DataFrame) -> DataFrame:
 
 def expand_recipes(sales: DataFrame, bom: DataFrame) -> DataFrame:
     """One row per sale and ingredient of its menu."""
-    return join_dimension(sales, bom.select("Menu_ID", "Item_ID", "qty_used"), "Menu_ID", "inner")
+    return sales.join(bom.select("Menu_ID", "Item_ID", "qty_used"), "Menu_ID")
 
 
 def add_consumed(expanded: DataFrame) -> DataFrame:

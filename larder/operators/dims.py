@@ -71,7 +71,7 @@ def thresholds(
 
 
 def flatten_menus(menus: DataFrame) -> DataFrame:
-    """One row per menu and ingredient; unusable ingredients go, repeats stay."""
+    """One row per menu and ingredient; unusable ingredients go, repeats and NaN amounts stay."""
     part, quantity = F.col("_part"), F.col("qty_used")
     links = (
         menus.filter(F.col("Menu_ID") != "")
@@ -83,7 +83,7 @@ def flatten_menus(menus: DataFrame) -> DataFrame:
             entry_label(part, "UoM").alias("BOM_UoM"),
         )
         .withColumn("qty_used", parse_float(F.col("_text")))
-        .select("Menu_ID", "Item_ID", F.when(is_finite(quantity), quantity).alias("qty_used"), "BOM_UoM")
+        .select("Menu_ID", "Item_ID", F.when(is_finite(quantity) | F.isnan(quantity), quantity).alias("qty_used"), "BOM_UoM")
     )
     return settle(links, links.columns).dropna(subset=["Item_ID", "qty_used"])
 

@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.functions.numbers import round_tenths
@@ -17,16 +17,27 @@ def _bounds(consumption: DataFrame) -> tuple[Column, Column]:
     return days.select("first").scalar(), days.select("last").scalar()
 
 
-def dense_grid(consumption: DataFrame) -> DataFrame:
-    """Every day between the first and the last, for every item, gaps as 0."""
+def day_runs(consumption: DataFrame) -> DataFrame:
+    """Every day between the first and the last, for every item, in runs.
+
+    A row is a day of consumption and the number of days without any that follow it
+    (``zero_days``); an item that starts late has a row of 0 on the first day. So the
+    table grows with consumption, not with days times items.
+    """
     first, last = _bounds(consumption)
-    items = consumption.select("Item_ID").distinct()
-    days = items.withColumns({"_first": first, "_last": last}).select(
-        F.explode(F.sequence("_first", "_last")).alias("Date"), "Item_ID"
-    )
-    return days.join(consumption, ["Date", "Item_ID"], "left").withColumn(
-        "POS_Consumed", F.coalesce(F.col("POS_Consumed"), F.lit(0.0))
-    )
+    late = consumption.groupBy("Item_ID").agg(F.min("Date").alias("_start")).withColumn("Date", first)
+    late = late.filter(F.col("_start") > F.col("Date")).select("Date", "Item_ID", F.lit(0.0).alias("POS_Consumed"))
+    days = consumption.select("Date", "Item_ID", "POS_Consumed").unionByName(late).withColumn("_last", last)
+    # An item has one row a day at most, so a calendar bounds the window.
+    after = F.lead("Date").over(Window.partitionBy("Item_ID").orderBy("Date"))
+    zeros = F.datediff(F.coalesce(after, F.date_add("_last", 1)), "Date") - 1
+    return days.select("Date", "Item_ID", "POS_Consumed", zeros.alias("zero_days"))
+
+
+def active_days(consumption: DataFrame, days: int = 7) -> DataFrame:
+    """The (day, item) of the period whose last ``days`` days hold consumption; all other means are 0 or none."""
+    last = _bounds(consumption)[1]
+    return trailing_totals(consumption, days).withColumn("_last", last).filter(F.col("Date") <= F.col("_last")).select("Date", "Item_ID")
 
 
 def trailing_totals(consumption: DataFrame, days: int) -> DataFrame:
@@ -64,8 +75,11 @@ def trailing_mean(
 
 
 def to_wide(long: DataFrame, items: Sequence[str], value: str = "POS_Consumed") -> DataFrame:
-    """One row per day and one column per item, gaps as 0."""
-    return long.groupBy("Date").pivot("Item_ID", list(items)).agg(F.sum(value)).fillna(0.0)
+    """One row per day and one column per named item, gaps as 0; any other item fails the job."""
+    unnamed = F.raise_error(F.concat(F.lit("no column for item "), F.coalesce(F.col("Item_ID"), F.lit("null"))))
+    named = F.when(F.coalesce(F.col("Item_ID").isin(*items), F.lit(False)), F.col("Item_ID")).otherwise(unnamed.cast("string"))
+    checked = long.select("Date", named.alias("Item_ID"), value)
+    return checked.groupBy("Date").pivot("Item_ID", list(items)).agg(F.sum(value)).fillna(0.0)
 
 
 def to_long(wide: DataFrame, items: Sequence[str], value: str = MEAN) -> DataFrame:

@@ -1,43 +1,16 @@
-"""Row-level joins of a big table with a dimension.
+"""Joins of facts with a dimension.
 
-A dimension is broadcast only after its rows were counted. A bigger one is joined
-by shuffle with a salted key, so that a key holding a third of all rows is spread
-over many tasks.
+No hint and no switch: at run time Spark broadcasts a side that is small in bytes and
+splits hot keys of one that is not. Callers that need groups alone count them first,
+so that the join meets each key once.
 """
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 200_000
-SALTS = 32
 
-
-def join_dimension(
-    facts: DataFrame,
-    dimension: DataFrame,
-    on: str,
-    how: str = "left",
-    broadcast_rows: int = BROADCAST_ROWS,
-    salts: int = SALTS,
-) -> DataFrame:
-    """``facts`` joined with ``dimension`` on one key, both ways exact.
-
-    ``how`` is any join that keeps or drops rows of ``facts``: inner, left,
-    left_semi or left_anti. The dimension may hold several rows per key.
-    """
-    if dimension.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        return facts.join(F.broadcast(dimension), on, how)
-    spread = facts.withColumn("_salt", F.pmod(F.xxhash64(*facts.columns), F.lit(salts)))
-    copies = dimension.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))
-    )
-    return spread.join(copies, [on, "_salt"], how).drop("_salt")
-
-
-def flag_missing(
-    facts: DataFrame, key: str, known: DataFrame, flag: str, broadcast_rows: int = BROADCAST_ROWS
-) -> DataFrame:
+def flag_missing(facts: DataFrame, key: str, known: DataFrame, flag: str) -> DataFrame:
     """Add ``flag``: the key of the row is not among the distinct keys ``known``."""
     marks = known.select(F.col(known.columns[0]).alias(key), F.lit(True).alias("_known"))
-    joined = join_dimension(facts, marks, key, "left", broadcast_rows)
+    joined = facts.join(marks, key, "left")
     return joined.select(*facts.columns, F.col("_known").isNull().alias(flag))

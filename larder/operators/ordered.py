@@ -4,6 +4,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def first_places(df: DataFrame, key: str, order: str = "_ord") -> DataFrame:
@@ -45,31 +46,47 @@ def flag_repeats(
     return joined.select(*[df[c] for c in df.columns], F.col("_first").isNull().alias(flag))
 
 
+def order_chunk(df: DataFrame, order: str = "_ord", bits: int = 16) -> list[Column]:
+    """Columns that cut ``order`` into runs of at most 2**bits rows each.
+
+    They never decrease along ``order``.
+    """
+    if isinstance(df.schema[order].dataType, T.StructType):
+        place = F.col(order)
+        return [place["file"], place["block"], F.shiftright(place["row"], bits)]
+    return [F.shiftright(F.col(order), bits)]
+
+
 def lag_in_order(
     df: DataFrame,
     key: Sequence[str],
     order: Sequence[Column],
-    chunk: Sequence[Column],
+    chunks: Sequence[Sequence[Column]],
     value: str,
     name: str,
 ) -> DataFrame:
     """``value`` of the previous row of the same key, in one total order.
 
-    ``chunk`` cuts the order into runs: it must never decrease along ``order``.
-    Inside a run the lag is taken per (key, run). Only the first row of a run still
-    lacks its value, and that is the last row of the run before it, so a second
-    pass over first and last rows alone completes the column. The widest group is
-    therefore a run, or twice the number of runs of one key, never all rows of it.
+    ``chunks`` cut the order into runs, the finest first; none may decrease along
+    ``order``, and each run lies within one of the next coarser cut. Inside a run the lag is
+    taken per (key, run). Only the first row of a run still lacks its value, and
+    that is the last row of the run before it, so the next cut needs the first and
+    last rows of runs alone, and at last the whole key. The widest group is a run of the finest
+    cut, or twice the runs that one run of the next holds.
     """
-    in_run = Window.partitionBy(*key, *chunk).orderBy(*order)
-    df = df.withColumns(
-        {
-            "_inside": F.lag(value).over(in_run),
-            "_head": F.lag(F.lit(True)).over(in_run).isNull(),
-            "_tail": F.lead(F.lit(True)).over(in_run).isNull(),
-        }
-    )
-    run = F.when(~(F.col("_head") | F.col("_tail")), F.struct(*chunk))
-    at_edges = Window.partitionBy(*key, run).orderBy(*order)
-    previous = F.when(F.col("_head"), F.lag(value).over(at_edges)).otherwise(F.col("_inside"))
-    return df.withColumn(name, previous).drop("_inside", "_head", "_tail")
+    finest = F.struct(*chunks[0])
+    df = df.withColumns({"_previous": F.lit(None).cast(df.schema[value].dataType), "_head": F.lit(True), "_tail": F.lit(True)})
+    for chunk in [*chunks, []]:
+        edge = F.col("_head") | F.col("_tail")
+        # Settled rows stand aside, each with its own finest run.
+        run = Window.partitionBy(*key, *chunk, F.when(~edge, finest)).orderBy(*order)
+        alone_before = F.lag(F.lit(True)).over(run).isNull()
+        alone_after = F.lead(F.lit(True)).over(run).isNull()
+        df = df.withColumns(
+            {
+                "_previous": F.when(F.col("_head"), F.lag(value).over(run)).otherwise(F.col("_previous")),
+                "_head": F.col("_head") & alone_before,
+                "_tail": F.col("_tail") & alone_after,
+            }
+        )
+    return df.withColumnRenamed("_previous", name).drop("_head", "_tail")

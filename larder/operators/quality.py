@@ -21,6 +21,100 @@ QUANTITY_REASONS = (defaults.NEGATIVE, defaults.BAD_QUANTITY, defaults.ZERO)
 Rule = tuple[str, Column]
 
 
+def parse_sales(sales: DataFrame) -> DataFrame:
+    """Add the typed columns; each is null where its text cannot be read."""
+    stamp = timestamp_steps("DateTime", "DateTime_Parsed")
+    quantity = quantity_steps("Quantity", "Quantity_Clean", "is_negative")
+    return apply_steps(sales, stamp, quantity).withColumn("Date", F.to_date("DateTime_Parsed"))
+
+
+def missing_critical() -> Column:
+    """Without these three a sale cannot be used; the id is not among them."""
+    return F.col("DateTime").isNull() | F.col("Menu_ID").isNull() | F.col("Quantity").isNull()
+
+
+def row_rules() -> list[Rule]:
+    """Rules that need one parsed row only, in the order in which they apply."""
+    quantity = F.col("Quantity_Clean")
+    return [
+        (defaults.ERROR_FLAG, is_error_flag(F.col("Additional_Info"))),
+        (defaults.NULL_FIELD, missing_critical()),
+        (defaults.BAD_DATE, F.col("DateTime_Parsed").isNull()),
+        (defaults.NEGATIVE, F.col("is_negative")),
+        (defaults.BAD_QUANTITY, quantity.isNull()),
+        (defaults.ZERO, quantity == 0),
+    ]
+
+
+def first_violation(rules: Sequence[Rule]) -> Column:
+    """Reason of the first rule that holds, null if none does."""
+    (name, broken), *later = rules
+    reason = F.when(broken, F.lit(name))
+    for name, broken in later:
+        reason = reason.when(broken, F.lit(name))
+    return reason
+
+
+def tag_rows(sales: DataFrame) -> DataFrame:
+    """Parse and tag by the row rules alone (also fits a streaming DataFrame)."""
+    tagged = parse_sales(sales).withColumn(REASON, first_violation(row_rules()))
+    return settle(tagged.drop("is_negative"), [*PARSED, REASON])
+
+
+def tag_sales(sales: DataFrame, key: str = "Transaction_ID", order: str = "_ord") -> DataFrame:
+    """Every sale with its typed columns and its one reason.
+
+    A repeated id outranks all other reasons, and the first occurrence counts even
+    if it is itself rejected. Typed columns are filled as far as the row got.
+    """
+    tagged = flag_repeats(tag_rows(sales), key, order, "_repeat", among=sales)
+    reason = F.when(F.col("_repeat"), F.lit(defaults.DUPLICATE)).otherwise(F.col(REASON))
+    tagged = tagged.withColumn(REASON, reason).drop("_repeat")
+    reached = F.col(REASON).isNull() | F.col(REASON).isin(*QUANTITY_REASONS)
+    return tagged.withColumns({c: F.when(reached, F.col(c)) for c in PARSED})
+
+
+def clean_part(tagged: DataFrame) -> DataFrame:
+    return tagged.filter(F.col(REASON).isNull()).drop(REASON)
+
+
+def quarantine_part(tagged: DataFrame) -> DataFrame:
+    return tagged.filter(F.col(REASON).isNotNull())
+
+
+def valid_sales(sales: DataFrame, key: str = "Transaction_ID", order: str = "_ord") -> DataFrame:
+    """The clean part alone, without carrying rejected rows through a shuffle.
+
+    Same rows as ``clean_part(tag_sales(sales))``. Rows that break a row rule go
+    before the join, which then moves the columns the caller uses and no others.
+    """
+    kept = tag_rows(sales).filter(F.col(REASON).isNull()).drop(REASON)
+    return keep_first(kept, key, order, among=sales)
+
+
+def flag_unknown_menus(
+    clean: DataFrame, menus: DataFrame, flag: str = "is_ghost_menu"
+) -> DataFrame:
+    trimmed = clean.withColumn("Menu_ID", strip_ws(F.col("Menu_ID")))
+    return flag_missing(trimmed, "Menu_ID", menus, flag)
+
+
+def flag_unknown_employees(
+    clean: DataFrame, employees: DataFrame, flag: str = "is_unknown_employee"
+) -> DataFrame:
+    """Sales stay as they are if there is no employee list at all."""
+    listed = employees.agg(F.count("*")).scalar() > 0
+    named = strip_ws(F.coalesce(F.col("Employee_ID"), F.lit(defaults.UNKNOWN_EMPLOYEE)))
+    named = clean.withColumn("Employee_ID", F.when(listed, named).otherwise(F.col("Employee_ID")))
+    flagged = flag_missing(named, "Employee_ID", employees, flag)
+    return flagged.withColumn(flag, F.col(flag) & listed)
+
+
+REASONS = (defaults.NEGATIVE, defaults.BAD_QUANTITY, defaults.ZERO)
+
+Rule = tuple[str, Column]
+
+
 def parse_sales(sales: DataFrame) -> DataFrame:
     """Add the typed columns; each is null where its text cannot be read."""
     stamp = timestamp_steps("DateTime", "DateTime_Parsed")

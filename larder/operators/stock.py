@@ -1,7 +1,5 @@
 """Daily counts: flattening, cleansing, and reconciliation with consumption."""
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,9 +7,8 @@ from larder.functions.dates import with_timestamp
 from larder.functions.numbers import nan_to_null, parse_float, prepare
 from larder.functions.text import strip_ws
 from larder.operators.dims import entry_label, entry_value
-from larder.operators.ordered import lag_in_order
+from larder.operators.ordered import lag_in_order, order_chunk
 from larder.operators.settle import settle
-from larder.sources.readers import order_chunk
 
 
 def stock_text(entry: Column, key: str = "stock_remaining", renamed: str = "sisa_stok_akhir") -> Column:
@@ -95,15 +92,15 @@ def stock_profile(flat: DataFrame) -> DataFrame:
     )
 
 
-def previous_count(
-    stock: DataFrame,
-    order: Sequence[Column] | None = None,
-    chunk: Sequence[Column] | None = None,
-) -> DataFrame:
-    """Add the count of the row before, by date and then by input order."""
-    order = order or [F.col("Date"), F.col("_ord"), F.col("_pos")]
-    chunk = chunk or [F.col("Date"), *order_chunk(stock)]
-    return lag_in_order(stock, ["Item_ID"], order, chunk, "stock_remaining", "Prev_Physical")
+def previous_count(stock: DataFrame) -> DataFrame:
+    """Add the count of the row before, by date and then by input order.
+
+    Counts of a day come first, in runs of input order; then the edges of these
+    runs in a month, and the edges of the months of an item.
+    """
+    order = [F.col("Date"), F.col("_ord"), F.col("_pos")]
+    chunks = [[F.col("Date"), *order_chunk(stock)], [F.trunc("Date", "month")]]
+    return lag_in_order(stock, ["Item_ID"], order, chunks, "stock_remaining", "Prev_Physical")
 
 
 def attach_consumption(stock: DataFrame, consumption: DataFrame) -> DataFrame:

@@ -1,7 +1,5 @@
 """Session settings and the shared folder for tables that are read twice."""
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,41 +24,18 @@ def build_session(name: str = "larder", **settings: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """The same settings for a session that is already there."""
-    for key, value in SETTINGS.items():
-        spark.conf.set(key, value)
-    return spark
-
-
-def spread(df: DataFrame, *by: str) -> DataFrame:
-    """Deal rows out to all cores if their files come in fewer splits than that.
+def spread(df: DataFrame, partitions: int | None, *by: str) -> DataFrame:
+    """Deal rows out to so many partitions; as they are without a number.
 
     Parsing costs far more than reading, and a file that cannot be split would
-    keep it in one task. Big tables have more splits than cores and stay as they
-    are.
+    keep it in one task.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *by)
-
-
-@functools.cache
-def _own_dir() -> str:
-    return tempfile.mkdtemp(prefix="larder-")
+    return df if partitions is None else df.repartition(partitions, *by)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors can reach, as the cluster names it.
-
-    Only a local session, whose executors are this machine, may go without.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder and spark.sparkContext.master.startswith("local"):
-        folder = _own_dir()
-    if not folder:
-        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
+    """The folder all executors can reach, as the cluster names it; else the warehouse."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return folder.rstrip("/")
 
 

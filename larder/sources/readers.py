@@ -15,7 +15,6 @@ from pyspark.sql import types as T
 from larder import defaults
 from larder.functions.numbers import nan_to_null, parse_float, prepare
 from larder.functions.text import null_if_token, strip_ws
-from larder.session import spread
 
 SALES_COLUMNS = (
     "Transaction_ID", "DateTime", "Employee_ID", "Menu_ID", "Item_Name",
@@ -25,9 +24,15 @@ INVENTORY_COLUMNS = (
     "Item_ID", "Item_Name", "Supplier_UoM", "Min_Stock_Threshold", "Category",
 )
 
+_LINE = "_line"  # holds lines whose number of fields is not that of the header
+
 _entry = T.MapType(T.StringType(), T.StringType())
 
 
+def _ddl(names: Sequence[str]) -> str:
+    return ", ".join(f"`{n.replace('`', '``')}` string" for n in names)
+
+
 def _text_schema(names: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
@@ -51,17 +56,6 @@ def _place_in_file() -> Column:
     )
 
 
-def order_chunk(df: DataFrame, order: str = "_ord", bits: int = 16) -> list[Column]:
-    """Columns that cut ``order`` into runs of at most 2**bits rows each.
-
-    They never decrease along ``order``.
-    """
-    if isinstance(df.schema[order].dataType, T.StructType):
-        place = F.col(order)
-        return [place["file"], place["block"], F.shiftright(place["row"], bits)]
-    return [F.shiftright(F.col(order), bits)]
-
-
 def normalise_nulls(
     df: DataFrame,
     tokens: Sequence[str] = defaults.SALES_NULLS,
@@ -78,30 +72,44 @@ def normalise_nulls(
 def read_text_csv(
     spark: SparkSession, path: str, columns: Sequence[str], multi_line: bool = True
 ) -> DataFrame:
-    """A CSV with header, every column as text, plus ``_ord``.
-
-    A file with line breaks inside quotes cannot be split. ``multi_line=False``
-    lets Spark split big files that have none.
+    """A CSV with header, the named columns as text, plus ``_ord``.
+
+    Columns are found by the names in the header, whatever their order, and others
+    are left out; a missing one, or files of different headers, raise. A line with
+    fewer fields than the header ends in nulls, one with more fails the job. A file with line
+    breaks inside quotes cannot be split; ``multi_line=False`` lets Spark split big
+    files that have none. It then fails the job on a line that ends early in an open quote; an
+    open quote in the last field cannot be told from text.
     """
-    return (
-        spark.read.schema(_text_schema(columns))
-        .option("header", True)
-        .option("multiLine", multi_line)
-        .option("escape", '"')
-        .csv(path)
-        .select(*columns, _place_in_file().alias("_ord"))
-    )
+    options = {"header": True, "multiLine": multi_line, "escape": '"'}
+    names = spark.read.options(**options).csv(path).columns
+    missing = [c for c in columns if c not in names]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}; its header is {', '.join(names)}")
+    # Pruned columns are not parsed, and surplus fields would go unnoticed.
+    rows = spark.read.options(
+        **options, enforceSchema=False, columnPruning=False, columnNameOfCorruptRecord=_LINE
+    ).schema(_text_schema([*names, _LINE])).csv(path)
+    surplus = F.from_csv(F.col(_LINE), _ddl([*names, "_surplus"]), {"escape": '"', "multiLine": "true"})["_surplus"]
+    quotes = F.length(_LINE) - F.length(F.replace(F.col(_LINE), F.lit('"'), F.lit("")))
+    broken = surplus.isNotNull() | (quotes % 2 == 1)
+    # Spark refuses to read the line alone, as a count would.
+    broken = broken & (F.length(F.coalesce(F.col(f"`{names[0]}`"), F.lit(""))) >= 0)
+    message = F.concat(F.lit(f"{path} has a broken line: "), F.coalesce(F.col(_LINE), F.lit("")))
+    checked = rows.filter(F.when(F.coalesce(broken, F.lit(False)), F.raise_error(message).cast("boolean")).otherwise(True))
+    return checked.select(*columns, _place_in_file().alias("_ord"))
 
 
 def read_sales(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    rows = spread(read_text_csv(spark, path, SALES_COLUMNS, multi_line), "_ord")
-    return normalise_nulls(rows, columns=SALES_COLUMNS)
+    return normalise_nulls(read_text_csv(spark, path, SALES_COLUMNS, multi_line), columns=SALES_COLUMNS)
 
 
 def clean_inventory(raw: DataFrame) -> DataFrame:
     """Typed item list: items without id go, a bad threshold is 0."""
     rows = normalise_nulls(raw, defaults.DIMENSION_NULLS, INVENTORY_COLUMNS).dropna(subset=["Item_ID"])
-    staged = rows.withColumn("_text", prepare(F.col("Min_Stock_Threshold")))
+    # Underscores belong to quantities, recipes and counts, not to thresholds.
+    plain = F.when(~F.col("Min_Stock_Threshold").contains("_"), F.col("Min_Stock_Threshold"))
+    staged = rows.withColumn("_text", prepare(plain))
     staged = staged.withColumn("_text", parse_float(F.col("_text")))
     return staged.withColumns(
         {

@@ -3,10 +3,10 @@ import json
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from larder.operators import dims
 from larder.plans import report as flows
-from larder.session import spread
 from larder.sources import readers, sinks
 
 HEADER = list(readers.SALES_COLUMNS)
@@ -58,6 +58,58 @@ def _load(spark, folder):
     return flows.load(spark, *[str(folder / n) for n in names])
 
 
+def _csv(path, *lines):
+    path.write_text("\n".join(lines) + "\n", encoding="utf-8")
+    return str(path)
+
+
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_columns_are_found_by_name(spark, tmp_path, multi_line):
+    path = _csv(tmp_path / "a.csv", "b,extra,a", "1,x,2", '3,"y, z",4', "5", "6,,")
+    rows = readers.read_text_csv(spark, path, ["a", "b"], multi_line).orderBy("_ord").collect()
+    assert [(r["a"], r["b"]) for r in rows] == [("2", "1"), ("4", "3"), (None, "5"), (None, "6")]
+    with pytest.raises(ValueError, match="no column c"):
+        readers.read_text_csv(spark, path, ["a", "c"], multi_line)
+
+
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_surplus_fields_fail_whatever_is_read(spark, tmp_path, multi_line):
+    path = _csv(tmp_path / "a.csv", "a,b", "1,2", "1,2,3")
+    rows = readers.read_text_csv(spark, path, ["a", "b"], multi_line)
+    for df in (rows, rows.select("a"), rows.groupBy().count()):
+        with pytest.raises(Exception, match="broken line"):
+            df.collect()
+
+
+def test_open_quotes_fail_line_by_line(spark, tmp_path):
+    path = _csv(tmp_path / "a.csv", "a,b", '"two', 'lines",2')
+    with pytest.raises(Exception, match="broken line"):
+        readers.read_text_csv(spark, path, ["a", "b"], False).collect()
+
+
+def test_files_of_other_headers_fail(spark, tmp_path):
+    _csv(tmp_path / "1.csv", "a,b", "1,2")
+    _csv(tmp_path / "2.csv", "b,a", "2,1")
+    with pytest.raises(Exception, match="(?i)header"):
+        readers.read_text_csv(spark, str(tmp_path), ["a", "b"]).collect()
+
+
+def test_big_files_are_split(spark, tmp_path):
+    path = _csv(tmp_path / "a.csv", "a,b", *(f"{i},{'x' * 100}" for i in range(20_000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300k")
+    try:
+        rows = readers.read_text_csv(spark, path, ["a", "b"], False)
+        assert rows.count() == 20_000 and rows.select(F.spark_partition_id()).distinct().count() >= 5
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_thresholds_take_no_underscores(spark, tmp_path):
+    path = _csv(tmp_path / "i.csv", "Category,Item_ID,Item_Name,Supplier_UoM,Min_Stock_Threshold", "c,A,x,Pcs,1_000", "c,B,x,Pcs,1000")
+    rows = {r["Item_ID"]: r["Min_Stock_Threshold"] for r in readers.read_inventory(spark, path).collect()}
+    assert rows == {"A": 0.0, "B": 1000.0}
+
+
 def test_sales_keep_file_order_and_odd_text(spark, folder):
     rows = readers.read_sales(spark, str(folder / "sales.csv")).orderBy("_ord").collect()
     assert [r["Transaction_ID"] for r in rows] == ["T1", "T1", "T2", "T3", "T4", "T5", None]
@@ -108,9 +160,3 @@ def test_run_writes_both_files(spark, folder):
 def test_reason_column_is_added_if_absent(spark):
     log = sinks.count_reasons(spark.range(3))
     assert [tuple(r) for r in log.collect()] == [("UNKNOWN", 3)]
-
-
-def test_spread_leaves_big_tables_alone(spark):
-    wide = spark.range(100).repartition(9)
-    assert spread(wide) is wide
-    assert spread(spark.range(100).coalesce(1), "id").rdd.getNumPartitions() == 4

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from larder import defaults
 from larder.operators import classify, finance, forecast, quality, quantiles, stock
-from larder.operators.lookups import flag_missing, join_dimension
+from larder.operators.lookups import flag_missing
 from larder.operators.ordered import flag_repeats, keep_first, lag_in_order
 from larder.plans.report import Sources, build_report
 
@@ -93,8 +93,8 @@ def test_lag_over_runs_equals_plain_lag(spark, bits):
     rng = random.Random(bits)
     rows = [(i, rng.choice("aaab"), rng.randrange(6), rng.choice([None, 1.0, 2.0, 3.0])) for i in range(300)]
     df = spark.createDataFrame(rows, "i bigint, k string, day int, v double")
-    chunk = [F.col("day"), F.shiftright(F.col("i"), bits)]
-    got = lag_in_order(df, ["k"], [F.col("day"), F.col("i")], chunk, "v", "p")
+    chunks = [[F.col("day"), F.shiftright(F.col("i"), bits)], [F.shiftright(F.col("day"), 1)]]
+    got = lag_in_order(df, ["k"], [F.col("day"), F.col("i")], chunks, "v", "p")
     last, want = {}, {}
     for i, k, day, v in sorted(rows, key=lambda r: (r[2], r[0])):
         want[i] = last.get(k)
@@ -102,17 +102,28 @@ def test_lag_over_runs_equals_plain_lag(spark, bits):
     assert {r["i"]: r["p"] for r in got.collect()} == want
 
 
-def test_big_dimension_is_joined_by_salt_with_the_same_rows(spark):
-    facts = spark.createDataFrame([(i, "hot" if i % 3 else f"k{i % 7}") for i in range(200)], "i int, k string")
-    dimension = spark.createDataFrame([("hot", 1), ("hot", 2), ("k1", 3), ("zz", 4)], "k string, v int")
-    for how in ("inner", "left", "left_semi", "left_anti"):
-        small = join_dimension(facts, dimension, "k", how)
-        salted = join_dimension(facts, dimension, "k", how, broadcast_rows=1, salts=5)
-        assert small.columns == salted.columns
-        assert sorted(map(str, small.collect())) == sorted(map(str, salted.collect()))
-    known = dimension.select("k").distinct()
-    flags = {(r["k"], r["f"]) for r in flag_missing(facts, "k", known, "f", broadcast_rows=1).collect()}
-    assert ("hot", False) in flags and ("k1", False) in flags and ("k2", True) in flags
+def test_lookup_without_hint(spark):
+    facts = spark.createDataFrame([(i, "hot" if i % 3 else f"k{i % 7}", {"a": i}) for i in range(200)], "i int, k string, m map<string,int>")
+    known = spark.createDataFrame([("hot",), ("k1",), ("zz",)], "id string")
+    got = flag_missing(facts, "k", known, "f")
+    assert "BroadcastHint" not in got._jdf.queryExecution().logical().toString()
+    assert {(r["k"], r["f"]) for r in got.collect()} >= {("hot", False), ("k1", False), ("k2", True)} and got.count() == 200
+
+
+@pytest.mark.parametrize("days, each", [(1500, 1), (40, 60)])
+def test_lag_keeps_groups_small(spark, days, each):
+    start = dt.date(2020, 1, 1)
+    rows = [("A", start + dt.timedelta(i // each), i, 0, float(i)) for i in range(days * each)]
+    df = spark.createDataFrame(rows, "Item_ID string, Date date, _ord bigint, _pos int, stock_remaining double")
+    order = [F.col("Date"), F.col("_ord")]
+    chunks = [[F.col("Date"), F.shiftright(F.col("_ord"), 5)], [F.trunc("Date", "month")]]
+    got = {r["_ord"]: r["p"] for r in lag_in_order(df, ["Item_ID"], order, chunks, "stock_remaining", "p").collect()}
+    assert got == {i: float(i - 1) if i else None for i in range(days * each)}
+    # runs, edges of runs in a month, edges of months: none is near the whole item
+    fine = df.groupBy(*chunks[0]).count()
+    month = df.select(*[c.alias(f"f{i}") for i, c in enumerate(chunks[0])], F.trunc("Date", "month").alias("m")).distinct().groupBy("m").count()
+    widest = max(fine.agg(F.max("count")).first()[0], 2 * month.agg(F.max("count")).first()[0], 2 * month.count())
+    assert widest <= 6 * (days * each) ** 0.5
 
 
 def _records(spark, records):

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import stage, table
+from larder.llm.common import most_frequent, stage, table
 
 # Fixed by the contract: one document in FOLDS is held out; the smoothing of counts.
 FOLDS = 10
@@ -176,7 +176,7 @@ def fit(docs: DataFrame, frequent: int = FREQUENT) -> tuple[Model, DataFrame]:
     """The model of all texts, and the counts of all their words as a table."""
     counts = stage(count_words(docs))
     ends = docs.count()
-    top = counts.orderBy(F.desc("n"), "word").limit(frequent).toArrow()
+    top = most_frequent(counts, frequent).select("word", "n").toArrow().sort_by([("n", "descending"), ("word", "ascending")])
     words = [w.encode() for w in top["word"].to_pylist()]
     own = docs.sparkSession.createDataFrame([(w.decode(),) for w in words[:WORDS]], "w string")
     rare = counts.join(own, F.col("word") == F.col("w"), "left_anti").groupBy("class").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()

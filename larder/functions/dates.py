@@ -16,17 +16,21 @@ LATEST = "2262-04-11 23:47:16"
 
 _ISO = r"^\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?)?(Z|[+-]\d{2}:\d{2})?$"
 _CLOCK = r"(?:\s+(\d{1,2}:\d{2}(?::\d{2})?)(?:\s*([AaPp])[Mm])?)?$"
-_DAY_AND_MONTH = r"^\d{1,2}[-/.]\d{1,2}[-/.]\d{4}"
+_DAY_AND_MONTH = r"^\d{1,2}[-/.]\d{1,2}[-/.](\d{4}|\d{2})(?!\d)"
 
 # Spelling and the ISO text it stands for. Day and month in digits come out month
 # first here; the other reading swaps them later. A half-day mark stays at the end.
 REWRITES = (
     (r"^(\d{1,2})([-/.])(\d{1,2})\2(\d{4})" + _CLOCK, "$4-$1-$3 $5$6"),
-    (r"^([A-Za-z]+)\s+(\d{1,2})\s+(\d{4})" + _CLOCK, "$3-$1-$2 $4$5"),
+    # Years of two digits are those from 1970 to 2069.
+    (r"^(\d{1,2})([-/.])(\d{1,2})\2([0-6]\d)" + _CLOCK, "20$4-$1-$3 $5$6"),
+    (r"^(\d{1,2})([-/.])(\d{1,2})\2([7-9]\d)" + _CLOCK, "19$4-$1-$3 $5$6"),
+    (r"^([A-Za-z]+)\s+(\d{1,2}),?\s+(\d{4})" + _CLOCK, "$3-$1-$2 $4$5"),
+    (r"^(\d{1,2})(?:-|\s+)([A-Za-z]+)(?:-|,?\s+)(\d{4})" + _CLOCK, "$3-$2-$1 $4$5"),
+    (r"^(\d{4})(\d{2})(\d{2})T?(\d{2})(\d{2})(\d{2})$", "$1-$2-$3 $4:$5:$6"),
     (r"^(\d{4})(\d{2})(\d{2})(\d{2})(\d{2})$", "$1-$2-$3 $4:$5"),
     (r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3"),
-    (r"^(\d{4})/(\d{1,2})/(\d{1,2})" + _CLOCK, "$1-$2-$3 $4$5"),
-    (r"^(\d{1,2})-([A-Za-z]{3})-(\d{4})" + _CLOCK, "$3-$2-$1 $4$5"),
+    (r"^(\d{4})([-/.])(\d{1,2})\2(\d{1,2})" + _CLOCK, "$1-$3-$4 $5$6"),
 )
 _NAMED = r"^(\d{4})-([A-Za-z]+)-"
 _SWAP = (r"^(\d{4})-(\d{1,2})-(\d{1,2})", "$1-$3-$2")
@@ -36,6 +40,7 @@ _REWRITTEN = r"^\d{4}-\d{1,2}-\d{1,2}([ T]|$)"
 
 def _month_number(name: Column) -> Column:
     spellings = {s: n for n, m in enumerate(defaults.MONTHS, start=1) for s in (m, m[:3])}
+    spellings["sept"] = spellings["sep"]
     pairs = ", ".join(f"'{spelling}', '{n}'" for spelling, n in spellings.items())
     return F.try_element_at(F.expr(f"map({pairs})"), F.lower(name))
 

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from larder import defaults
-from larder.functions.dates import with_timestamp
+from larder.functions.dates import date_class, with_timestamp
 from larder.functions.numbers import parse_float, prepare, round_tenths, with_quantity
 from larder.functions.text import is_error_flag, null_if_token, strip_ws
 
@@ -44,10 +44,26 @@ STAMPS = {
     "14.3.2025": D(2025, 3, 14),
     "3.4.2025": D(2025, 3, 4),
     " 2025-02-14 05:29:20\t": D(2025, 2, 14, 5, 29, 20),
+    "2025-03-04  10:11:12": D(2025, 3, 4, 10, 11, 12),
+    "2025-03-04 05:09 PM": D(2025, 3, 4, 17, 9),
+    "20 Mar 2025": D(2025, 3, 20),
+    "20 March, 2025 10:00": D(2025, 3, 20, 10),
+    "Mar 20, 2025": D(2025, 3, 20),
+    "March 20, 2025 10:00": D(2025, 3, 20, 10),
+    "Sept 20 2025": D(2025, 9, 20),
+    "20250327101112": D(2025, 3, 27, 10, 11, 12),
+    "20250327T101112": D(2025, 3, 27, 10, 11, 12),
+    "2025.03.04": D(2025, 3, 4),
+    "04-03-25": D(2025, 4, 3),
+    "13-03-25 10:00": D(2025, 3, 13, 10),
+    "04.03.25": D(2025, 4, 3),
+    "04/03/25": D(2025, 3, 4),
+    "04-03-70": D(1970, 4, 3),
 }
 NO_STAMPS = [
     "2025-02-29 10:00:00", "2025032709", "12:34:56", "5/3", "not-a-date-???", "   ", "2025",
     "3000-01-01", "1500-01-01", "31/04/2025", "Foo 20 2025", "03-26-2025 17:09 PM", "20251301",
+    "2025-13-04", "2025.03-04", "Mar 2025", "20250327T1011", "99-99-25", "Mars 20 2025",
 ]
 
 
@@ -122,3 +138,19 @@ def test_round_tenths_agrees_with_python(spark):
     values = [n / 20 for n in range(4000)] + [rng.uniform(0, 1e6) for _ in range(4000)] + [2.25, 0.35, 1e15]
     df = spark.createDataFrame([(v,) for v in values], "x double").select("x", round_tenths(F.col("x")).alias("r"))
     assert all(r["r"] == round(r["x"], 1) for r in df.collect())
+
+
+def test_whatever_the_audit_calls_iso_is_read(spark):
+    texts = [f"2025-0{m}-1{d}{blank}0{d}:1{m}:2{m}" for m in range(1, 5) for d in range(1, 5) for blank in (" ", "  ", "\t", " \t ")]
+    df = with_timestamp(_one_column(spark, texts), "t", "stamp").withColumn("class", date_class(F.trim("t")))
+    assert {(r["class"], r["stamp"] is None) for r in df.collect()} == {("ISO YYYY-MM-DD HH:MM:SS", False)}
+
+
+@pytest.mark.parametrize("text, name", [
+    ("", "EMPTY"), ("2025-01-02   03:04:05 and more", "ISO YYYY-MM-DD HH:MM:SS"), ("2025-01-02T03:04:05", "OTHER"),
+    ("01/02/2025", "DD/MM/YYYY"), ("1/02/2025", "OTHER"), ("Mar 5  2025", "Month DD YYYY"), ("mar 5 2025", "OTHER"),
+    ("MAR 05 2025", "OTHER"), ("Mar 123 2025", "OTHER"), ("2025010203049", "Compact 12-digit"), ("20250102030", "OTHER"),
+    ("01-02-2025 03:04  PM", "MM-DD-YYYY AM/PM"), ("01-02-2025 03:04 pm", "OTHER"), ("01-02-2025 03:04 XM", "OTHER"),
+])
+def test_date_classes(spark, text, name):
+    assert _one_column(spark, [text]).select(date_class(F.col("t"))).first()[0] == name

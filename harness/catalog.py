@@ -23,8 +23,8 @@ REASON = quality.REASON
 class Case:
     """The derived tables and the steps most queries start from.
 
-    ``menu_days`` and ``bom`` are written once where a query reads them from
-    several sides; everything else stays a plan.
+    All of them are plans. Only queries of files, the report, the exact quantile and
+    the comparison of data sets write tables before their result is asked for.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
@@ -72,7 +72,7 @@ class Case:
 
     @cached_property
     def bom(self) -> DataFrame:
-        return stage(dims.flatten_menus(self.menus), "bom")
+        return dims.flatten_menus(self.menus)
 
     @cached_property
     def known_menus(self) -> DataFrame:
@@ -84,7 +84,7 @@ class Case:
 
     @cached_property
     def menu_days(self) -> DataFrame:
-        return stage(consumption.sales_by_menu_day(self.clean), "menu_days")
+        return consumption.sales_by_menu_day(self.clean)
 
     @cached_property
     def used(self) -> DataFrame:
@@ -124,7 +124,12 @@ class Case:
 
     @cached_property
     def report(self) -> DataFrame:
-        return flows.action_report(self.sources)
+        valid = quality.valid_sales(self.sales)
+        return flows.build_report(valid, self.sources, self.keep)
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        """Written once in the shared folder, as sales are parsed for it."""
+        return stage(df, new_path(self.spark, name))
 
     def sales_profile(self, *columns: Column) -> DataFrame:
         """Sales counted by the given columns."""
@@ -637,7 +642,7 @@ def t01_triage(c: Case) -> DataFrame:
 
 
 def t02_outlier_bound(c: Case) -> DataFrame:
-    return quantiles.outlier_bound(stage(_recon(c).select("Variance"), "variance"), "Variance")
+    return quantiles.outlier_bound(c.keep(_recon(c).select("Variance"), "variance"), "Variance")
 
 
 def t03_reason_shares(c: Case) -> DataFrame:
@@ -658,9 +663,7 @@ def t05_role_views(c: Case) -> DataFrame:
 
 def t06_datasets(c: Case) -> DataFrame:
     keyed = c.sales.withColumn("_id", F.struct("dataset", "Transaction_ID"))
-    tagged = stage(
-        quality.tag_sales(keyed, key="_id").select("dataset", REASON, "Date", "Menu_ID"), "tagged"
-    )
+    tagged = c.keep(quality.tag_sales(keyed, key="_id").select("dataset", REASON, "Date", "Menu_ID"), "tagged")
     groups = quality.clean_part(tagged).select(
         "dataset", "Date", text.strip_ws(F.col("Menu_ID")).alias("Menu_ID")
     ).distinct()

@@ -34,13 +34,14 @@ def add_consumed(expanded: DataFrame) -> DataFrame:
 def daily_consumption(menu_days: DataFrame, bom: DataFrame) -> DataFrame:
     """Consumption per day and item from sales per day and menu.
 
-    Joins without a hint: Spark knows both sizes and the menu side is small.
+    Joins without a hint: Spark knows both sizes and the menu side is small. A NaN
+    amount makes the menu known and gives the day a row, but adds nothing.
     """
     expanded = menu_days.join(bom.select("Menu_ID", "Item_ID", "qty_used"), "Menu_ID")
     return (
         add_consumed(expanded)
         .groupBy("Date", "Item_ID")
-        .agg(F.sum("Total_Consumed").alias("POS_Consumed"))
+        .agg(F.sum(F.nanvl("Total_Consumed", F.lit(0.0))).alias("POS_Consumed"))
     )
 
 

@@ -85,7 +85,7 @@ def flatten_menus(menus: DataFrame) -> DataFrame:
         .withColumn("qty_used", parse_float(F.col("_text")))
         .select("Menu_ID", "Item_ID", F.when(is_finite(quantity) | F.isnan(quantity), quantity).alias("qty_used"), "BOM_UoM")
     )
-    return settle(links, links.columns).dropna(subset=["Item_ID", "qty_used"])
+    return settle(links, links.columns).filter("Item_ID is not null and qty_used is not null")
 
 
 def known_menus(bom: DataFrame) -> DataFrame:

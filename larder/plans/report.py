@@ -1,12 +1,13 @@
 """The three flows: action report, quarantine log, and both written out."""
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder.operators import classify, consumption, dims, finance, forecast, quality, stock
-from larder.session import stage
+from larder.session import scratch_folder
 from larder.sources import readers, sinks
 
 
@@ -62,16 +63,19 @@ def full_report(core: DataFrame, used: DataFrame, costs: DataFrame) -> DataFrame
     return report.select(*classify.REPORT_COLUMNS, *places)
 
 
-def build_report(valid_sales: DataFrame, sources: Sources) -> DataFrame:
-    """The report from clean sales.
+def build_report(
+    valid_sales: DataFrame, sources: Sources, keep: Callable[[DataFrame, str], DataFrame] = lambda df, name: df
+) -> DataFrame:
+    """The report from clean sales, as a plan.
 
-    Sales per day and menu and the recipe list are written once: the consumption,
-    the forecast, its period and the invalid rows all read them, and none of them
-    goes back to the sales. Both are small next to their sources.
+    Sales per day and menu and the recipe list are read by the consumption, the
+    forecast, its period and the invalid rows; none of them goes back to the sales.
+    Both are small next to their sources. ``keep`` may write them, given a name;
+    otherwise Spark reuses their exchanges.
     """
     spark = valid_sales.sparkSession
-    bom = stage(dims.flatten_menus(sources.menus), "bom")
-    menu_days = stage(consumption.sales_by_menu_day(valid_sales), "menu_days")
+    bom = keep(dims.flatten_menus(sources.menus), "bom")
+    menu_days = keep(consumption.sales_by_menu_day(valid_sales), "menu_days")
     used = consumption.daily_consumption(menu_days, bom)
     core = core_report(
         menu_days,
@@ -91,18 +95,22 @@ def quarantine_log(sources: Sources) -> DataFrame:
     return quality.quarantine_part(quality.tag_sales(sources.sales))
 
 
-def run(sources: Sources, out: str, fmt: str = "csv") -> DataFrame:
+def run(sources: Sources, out: str, scratch: str, fmt: str = "csv") -> DataFrame:
     """Write report and quarantine log under ``out``; rows per status come back.
 
-    The tagged sales are written once, in a clean and a rejected part, so that the
-    parse and the search for repeats happen once for both outputs.
+    Tables that are read more than once are written below ``scratch``, a folder that
+    all executors reach, and removed at the end, whether the run succeeds or fails. The tagged
+    sales are written in a clean and a rejected part, so that the parse and the
+    search for repeats happen once for both outputs.
     """
-    tagged = quality.tag_sales(sources.sales)
-    rejected = F.col(quality.REASON).isNotNull()
-    tagged = stage(tagged.withColumn("_rejected", rejected), "tagged", ("_rejected",))
-    parts = tagged.filter(F.col("_rejected")), tagged.filter(~F.col("_rejected"))
-    quarantine, clean = (part.drop("_rejected", "_ord") for part in parts)
-    sinks.write_quarantine(quarantine, f"{out}/quarantine_log", fmt)
-    report = stage(build_report(clean.drop(quality.REASON), sources), "report")
-    sinks.write_report(report, f"{out}/Action_Report", fmt)
-    return classify.status_counts(report)
+    spark = sources.sales.sparkSession
+    with scratch_folder(spark, scratch) as keep:
+        rejected = F.col(quality.REASON).isNotNull()
+        tagged = keep(quality.tag_sales(sources.sales).withColumn("_rejected", rejected), "tagged", ("_rejected",))
+        parts = tagged.filter(F.col("_rejected")), tagged.filter(~F.col("_rejected"))
+        quarantine, clean = (part.drop("_rejected", "_ord") for part in parts)
+        sinks.write_quarantine(quarantine, f"{out}/quarantine_log", fmt)
+        report = keep(build_report(clean.drop(quality.REASON), sources, keep), "report")
+        sinks.write_report(report, f"{out}/Action_Report", fmt)
+        counts = classify.status_counts(report)
+        return spark.createDataFrame(counts.collect(), counts.schema)

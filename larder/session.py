@@ -1,6 +1,8 @@
 """Session settings and the shared folder for tables that are read twice."""
 
+import contextlib
 import uuid
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,12 +45,22 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/larder/{uuid.uuid4().hex}/{name}"
 
 
-def stage(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+def stage(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` once and go on from the files.
 
     Cuts the lineage, so that several readers share one scan and parse and a lost
     executor costs only the tasks it held.
     """
-    path = new_path(df.sparkSession, name)
     df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextlib.contextmanager
+def scratch_folder(spark: SparkSession, root: str) -> Iterator[Callable[..., DataFrame]]:
+    """Gives a function that stages a table under a name in a new folder below ``root``, removed at the end."""
+    folder = f"{root.rstrip('/')}/larder-{uuid.uuid4().hex}"
+    try:
+        yield lambda df, name, partition_by=(): stage(df, f"{folder}/{name}", partition_by)
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -141,7 +141,9 @@ def test_missing_sources(spark, folder):
 
 def test_run_writes_both_files(spark, folder):
     out = str(folder / "out")
-    counts = flows.run(_load(spark, folder), out)
+    (folder / "scratch").mkdir()
+    counts = flows.run(_load(spark, folder), out, str(folder / "scratch"))
+    assert list((folder / "scratch").iterdir()) == []
     got = {(r["Action_Status"], r["Variance_Direction"]): r["rows"] for r in counts.collect()}
     # Day 2: 98000 - (100000 - 36) = -1964 for beans; 4 - (0 - 4) = 8 for napkins.
     assert got == {("Anomaly", "Shrinkage"): 1, ("Anomaly", None): 1, ("Restock", "N/A"): 2, ("Restock", None): 2,
@@ -160,3 +162,39 @@ def test_run_writes_both_files(spark, folder):
 def test_reason_column_is_added_if_absent(spark):
     log = sinks.count_reasons(spark.range(3))
     assert [tuple(r) for r in log.collect()] == [("UNKNOWN", 3)]
+
+
+def test_a_failed_run_leaves_no_scratch(spark, folder):
+    (folder / "scratch").mkdir()
+    (folder / "out").mkdir()
+    (folder / "out" / "quarantine_log").write_text("in the way")
+    with pytest.raises(Exception):
+        flows.run(_load(spark, folder), str(folder / "out"), str(folder / "scratch"))
+    assert list((folder / "scratch").iterdir()) == []
+
+
+def _lines(path):
+    return [line for part in sorted(path.glob("part-*")) for line in csv.DictReader(part.open(newline=""))]
+
+
+def test_written_report_is_in_order(spark, tmp_path):
+    rows = [(f"2025-01-0{d}", s, i, float(k)) for k, (d, s, i) in enumerate(
+        [(2, "Safe", "B"), (1, "Safe", "A"), (2, "Anomaly", "C"), (1, "Restock", "B"), (1, "Invalid Data", "B"),
+         (2, "Anomaly", "A"), (1, "Anomaly", "Z"), (2, "Anomaly", "A"), (1, "Safe", "A")])]
+    report = spark.createDataFrame(rows, "Date string, Action_Status string, Item_ID string, Physical_Stock double")
+    sinks.write_report(report.repartition(4), str(tmp_path / "report"))
+    rank = {"Anomaly": 0, "Invalid Data": 1, "Restock": 2, "Safe": 3}
+    want = sorted(rows, key=lambda r: (r[0], rank[r[1]], r[2], r[3]))
+    assert [(r["Date"], r["Action_Status"], r["Item_ID"], float(r["Physical_Stock"])) for r in _lines(tmp_path / "report")] == want
+
+
+def test_reasons_are_counted_most_frequent_first(spark):
+    log = spark.createDataFrame([(r,) for r in "bbbaacccd"], "Quarantine_Reason string")
+    assert [tuple(r) for r in sinks.count_reasons(log.repartition(3)).collect()] == [("b", 3), ("c", 3), ("a", 2), ("d", 1)]
+
+
+def test_nan_links_are_kept(spark):
+    menus = spark.createDataFrame([("M1", "m", "1", [{"Item_ID": "A", "qty_used": q} for q in ("nan", "inf", "2")], 0)],
+                                  "Menu_ID string, Menu_Name string, Selling_Price_IDR string, ingredients array<map<string,string>>, _ord bigint")
+    links = dims.flatten_menus(menus)
+    assert sorted(str(r["qty_used"]) for r in links.collect()) == ["2.0", "nan"] and dims.known_menus(links).count() == 1

@@ -205,14 +205,21 @@ def test_stockout_and_loss_edges(spark):
     assert tuple(finance.loss_summary(priced).first()) == (2.0, 1)
 
 
-@pytest.mark.parametrize("accuracy", [20, 100_000])
-def test_quantiles_are_exact(spark, accuracy):
+@pytest.mark.parametrize("accuracy, few", [(20, 3), (20, 10_000), (100_000, 3), (100_000, 10_000)])
+def test_quantiles_are_exact(spark, accuracy, few):
     rng = random.Random(2)
-    values = [rng.choice([1.0, 2.0, rng.uniform(-50, 50)]) for _ in range(501)]
-    df = spark.createDataFrame([(v,) for v in values] + [(None,), (float("nan"),)], "x double")
-    for p in (0.0, 0.25, 0.5, 0.75, 1.0):
-        got = quantiles.exact_quantile(df, "x", p, "q", accuracy).first()["q"]
-        assert got == pytest.approx(np.quantile(values, p), abs=1e-12)
+    columns = [
+        [rng.choice([1.0, 2.0, rng.uniform(-50, 50)]) for _ in range(501)],
+        [0.0] * 300 + [1.0] * 200 + [i / 1000 for i in range(1, 30)],  # nearly all at the ends
+        [7.0],
+    ]
+    probabilities = (0.0, 0.25, 0.5, 0.6, 0.75, 1.0)
+    for values in columns:
+        df = spark.createDataFrame([(v,) for v in values] + [(None,), (float("nan"),)], "x double")
+        got = quantiles.exact_quantiles(df, "x", probabilities, accuracy, few)
+        assert got == pytest.approx([np.quantile(values, p) for p in probabilities], abs=1e-12)
+    none = spark.createDataFrame([(None,)], "x double")
+    assert tuple(quantiles.outlier_bound(none, "x").first()) == (None,) * 4
 
 
 def test_report_plan_stays_in_the_jvm(spark):

@@ -5,7 +5,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import bpe, embedding_dedup, lm_scoring, mixing, quality_rules, secret_scan, sharding, simhash_dedup, substring_dedup, token_counts
+from larder.llm import bpe, embedding_dedup, lm_scoring, mixing, oracle, quality_rules, secret_scan, sharding, simhash_dedup, substring_dedup, token_counts
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -25,4 +25,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracle.oracle_sql()

@@ -7,7 +7,7 @@ works on all of it. All but the last return the columns of documents.
 from pyspark.sql import DataFrame, SparkSession
 
 from larder.llm import bpe, mixing, quality_rules, secret_scan, simhash_dedup
-from larder.llm.common import stage, table
+from larder.llm.common import ship, stage, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -17,6 +17,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies, the document of least doc_id stays."""
+    ship(spark)
     return simhash_dedup.keep_first(docs)
 
 
@@ -27,11 +28,13 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows come as often, and with as many of their words, as the mix takes them."""
+    ship(spark)
     return mixing.mix(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of each row that the mix took, and whether they give back its text."""
+    ship(spark)
     return bpe.encoded(docs)
 
 

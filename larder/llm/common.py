@@ -2,16 +2,34 @@
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import larder
+
 # Fixed by the contracts: words are runs of anything but space and U+0009 to U+000D.
 SEPARATORS = " \t\n\x0b\x0c\r"
 SEPARATOR_RUN = "[ \\x09-\\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors once for each Spark context, for functions that run in their Python."""
+    context = spark.sparkContext
+    if getattr(context, "_larder_shipped", False):
+        return
+    package = Path(larder.__file__).parent
+    path = Path(tempfile.mkdtemp(prefix="larder-")) / "larder.zip"
+    with zipfile.ZipFile(path, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(path))
+    context._larder_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -72,14 +90,9 @@ class Aside:
 def shared_folder(spark: SparkSession) -> str:
     """A new folder below the one the cluster names in spark.checkpoint.dir.
 
-    Without that setting, as in tests, a folder is made and set for the session.
+    Without that setting, as in tests, tables go below the session's warehouse.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-        root = tempfile.mkdtemp(prefix="larder-llm-")
-        spark.conf.set("spark.checkpoint.dir", root)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/larder-llm/{uuid.uuid4().hex}"
 
 

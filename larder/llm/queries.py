@@ -6,10 +6,11 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
 from larder.llm import bpe, embedding_dedup, lm_scoring, mixing, oracle, quality_rules, secret_scan, sharding, simhash_dedup, substring_dedup, token_counts
+from larder.llm.common import ship
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    found = {
         "op1_substring_dedup": substring_dedup.op1_substring_dedup,
         "op2_token_counts": token_counts.op2_token_counts,
         "op3_quality_rules": quality_rules.op3_quality_rules,
@@ -22,6 +23,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_embedding_dedup": embedding_dedup.op10_embedding_dedup,
         "pipeline": corpus_pipeline.run,
     }
+    return {name: _shipped(query) for name, query in found.items()}
+
+
+def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return query(spark, sf_dir)
+
+    return run
 
 
 def oracle_sql() -> dict[str, str]:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers.pre_tokenizers import ByteLevel
 
-from larder.llm.common import table
+from larder.llm.common import most_frequent, stage, table
 
 VOCABULARY = "byte_bpe_50k.json"
 WORDS = 65_536  # frequent words compiled, at most; bounds what is broadcast
@@ -305,13 +305,15 @@ class Encoder:
 
 
 def fit_lexicon(docs: DataFrame, path: str, words: int = WORDS) -> bytes:
-    """The compiled lexicon of the most frequent words of all texts, ties by the word.
+    """The compiled lexicon of the most frequent words of all texts.
 
-    Counting is one aggregate in Spark; only the ``words`` chosen reach the driver.
+    Counting is one aggregate in Spark, written once; only the words chosen reach the
+    driver, ``words`` at most.
     """
     pattern = r" ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+"
     counted = docs.select(F.explode(F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
-    chosen = counted.where(F.octet_length("word") <= LONGEST).orderBy(F.desc("n"), "word").limit(words).collect()
+    counted = stage(counted.where((F.octet_length("word") <= LONGEST) & (F.col("n") > 1)))
+    chosen = most_frequent(counted, words).select("word").collect()
     vocabulary = Vocabulary(path)
     frequent = [r["word"].encode() for r in chosen]
     return pack(compile_lexicon(dict(zip(frequent, vocabulary.merge_all(frequent)))))

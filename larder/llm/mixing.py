@@ -1,9 +1,9 @@
 """Mixing sources to target weights by Sainte-Laguë apportionment.
 
-The budget is cut into blocks of equal word counts and dealt to shards; the sources of
-a shard get whole blocks by highest quotients (target over 1, 3, 5, ...). The words of a
-source stand in a seeded order, cut into blocks of the same size; its quota takes every
-block equally often, but for a seeded choice of blocks that it takes once more.
+The budget is dealt to shards; the sources of a shard get words by highest quotients
+(target over 1, 3, 5, ...). The words of a source stand in a seeded order, cut into blocks;
+its quota takes every block equally often, but for a seeded choice of blocks that it
+takes once more, the last of them in part. So sources smaller than a block get their due.
 """
 
 import math
@@ -77,8 +77,10 @@ def apportion(targets: Sequence[float], seats: int, most: Sequence[int]) -> list
 def plan(totals: Sequence[tuple], shards: int = SHARDS, blocks: int = BLOCKS_PER_SHARD, seed: int = SEED) -> list[dict]:
     """A row per source from (source, size): its target, quotas per shard and seeded choice.
 
+    Quotas are in words; together they take the source ``times`` times and ``rest`` words.
     ``step`` and ``shift`` place block i at (step * i + shift) modulo the number of
-    blocks, a permutation; the first places are taken once more.
+    blocks, a permutation; the first ``rest`` words of that order are taken once more.
+    ``last`` is the place of the last block, which lacks ``short`` words.
     """
     totals = sorted(totals, key=lambda x: (x[0] is None, x[0] or ""))
     sizes = [size for _, size in totals]
@@ -87,20 +89,24 @@ def plan(totals: Sequence[tuple], shards: int = SHARDS, blocks: int = BLOCKS_PER
     targets = fill(sizes, weights, budget)
     length = max(1, int(sum(targets) // (shards * blocks)))
     of = [math.ceil(size / length) for size in sizes]
-    seats = round(sum(targets) / length)
-    sums = [apportion(targets, round(seats * (s + 1) / shards), [REPEATS * n for n in of]) for s in range(shards)]
+    seats = round(sum(targets))
+    sums = [apportion(targets, round(seats * (s + 1) / shards), [REPEATS * size for size in sizes]) for s in range(shards)]
     rows = []
     for i, (source, size) in enumerate(totals):
         quotas = [b - a for a, b in zip([0, *[x[i] for x in sums]], [x[i] for x in sums])]
         step, n = zlib.crc32(f"{seed}:{source}:step".encode()) % max(1, of[i]), max(1, of[i])
         while math.gcd(step, n) != 1:
             step += 1
+        shift = zlib.crc32(f"{seed}:{source}:shift".encode()) % n
+        times, rest = divmod(sum(quotas), max(1, size))
         rows.append({"source": source, "source_size": size, "target": targets[i], "length": length, "blocks": of[i],
-                     "quotas": quotas, "step": step, "shift": zlib.crc32(f"{seed}:{source}:shift".encode()) % n})
+                     "quotas": quotas, "step": step, "shift": shift, "times": times, "rest": rest,
+                     "last": (step * (n - 1) + shift) % n, "short": of[i] * length - size})
     return rows
 
 
-_PLAN = ("source string, source_size long, target double, length long, blocks long, quotas array<long>, step long, shift long")
+_PLAN = ("source string, source_size long, target double, length long, blocks long, quotas array<long>, step long, shift long, "
+         "times long, rest long, last long, short long")
 
 
 def fit(docs: DataFrame, size: Column) -> DataFrame:
@@ -124,7 +130,8 @@ def place(docs: DataFrame, sources: DataFrame, size: Column, seed: int = SEED, l
     before = Window.partitionBy("source").orderBy("lot").rowsBetween(Window.unboundedPreceding, -1)
     starts = lot_sums.withColumn("lot_start", F.coalesce(F.sum("sum").over(before), F.lit(0))).join(
         sources.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).select(
-        F.struct("source", "lot", "lot_start", "source_size", "target", "length", "blocks", "quotas", "step", "shift").alias("plan"))
+        F.struct("source", "lot", "lot_start", "source_size", "target", "length", "blocks", "step", "shift", "times", "rest", "last",
+                 "short").alias("plan"))
     aside = Aside(docs.withColumn("_size", size), "source", "doc_id", "_size")
     rows = aside.rows.withColumnRenamed("_size", "size")
     rows = rows.withColumn("order", order).withColumn("lot", F.pmod(F.xxhash64(F.lit(seed + 1), F.col("doc_id"), F.col("size")), F.lit(lots)))
@@ -133,20 +140,22 @@ def place(docs: DataFrame, sources: DataFrame, size: Column, seed: int = SEED, l
     start = F.col("plan.lot_start") + F.sum("size").over(within) - F.col("size")
     rows = rows.withColumn("start", start)
     length, blocks = F.col("plan.length"), F.col("plan.blocks")
-    quota = F.aggregate("plan.quotas", F.lit(0).cast("long"), lambda a, x: a + x)
     first = F.floor(F.col("start") / length)
     last = F.floor((F.col("start") + F.col("size") - 1) / length)
 
     def run(i: Column) -> Column:
         place = F.pmod(F.col("plan.step") * i + F.col("plan.shift"), blocks)
-        times = F.floor(F.col("quota") / blocks) + (place < F.col("quota") % blocks).cast("long")
+        # words of the blocks in the places before
+        before = place * length - F.when(place > F.col("plan.last"), F.col("plan.short")).otherwise(F.lit(0).cast("long"))
         low = F.greatest(F.col("start"), i * length) - F.col("start")
         high = F.least(F.col("start") + F.col("size"), (i + 1) * length) - F.col("start")
-        return F.struct(low.alias("low"), high.alias("high"), times.alias("times"))
+        # up to here in the document the block is taken once more
+        cut = F.least(high, F.greatest(low, F.col("plan.rest") - before + i * length - F.col("start")))
+        return F.array(F.struct(low.alias("low"), cut.alias("high"), (F.col("plan.times") + 1).alias("times")),
+                       F.struct(cut.alias("low"), high.alias("high"), F.col("plan.times").alias("times")))
 
-    runs = F.when(F.col("size") > 0, F.transform(F.sequence(first, last), run)).otherwise(
-        F.array().cast("array<struct<low:long,high:long,times:long>>"))
-    rows = rows.withColumn("quota", quota)
+    runs = F.filter(F.flatten(F.transform(F.sequence(first, last), run)), lambda x: x["low"] < x["high"])
+    runs = F.when(F.col("size") > 0, runs).otherwise(F.array().cast("array<struct<low:long,high:long,times:long>>"))
     mix = F.struct("size", "start", F.col("plan.source_size").alias("source_size"), F.col("plan.target").alias("target"), runs.alias("runs"))
     return aside.back(rows.withColumn("mix", mix), "mix").drop("_size")
 

@@ -78,3 +78,35 @@ def test_repeated_rows(spark, documents):
     docs = documents(*[("a b c", "en", "s")] * 40)
     docs = docs.withColumn("doc_id", F.lit(None).cast("long"))
     assert sum(len(r.text.split()) for r in op.mix(docs).collect()) == pytest.approx(180, abs=4)
+
+
+def test_small_sources_beside_a_large_one(spark):
+    # the small ones are under half a block, a block and a part, or end in a part of one
+    sizes = {"big": [20_000] * 4000, "a": [100] * 3, "b": [450], "c": [1000] * 2, "d": [1500] * 2, "e": [1]}
+    rows = [(s, n) for s, ns in sizes.items() for n in ns]
+    docs = spark.createDataFrame([(i, s, n) for i, (s, n) in enumerate(rows)], "doc_id long, source string, n long")
+    taken, targets, seen = {}, {}, {}
+    for r in op.place(docs, op.fit(docs, F.col("n")), F.col("n")).collect():
+        assert [x.low for x in r.mix.runs] == [0, *[x.high for x in r.mix.runs][:-1]] and r.mix.runs[-1].high == r.n
+        assert all(0 <= x.times <= 2 for x in r.mix.runs)
+        taken[r.source] = taken.get(r.source, 0) + sum((x.high - x.low) * x.times for x in r.mix.runs)
+        targets[r.source] = r.mix.target
+        seen[r.source] = seen.get(r.source, 0) + r.n
+    assert seen == {s: sum(ns) for s, ns in sizes.items()}
+    assert {s: targets[s] for s in "abcde"} == {"a": 600, "b": 900, "c": 4000, "d": 6000, "e": 2}
+    assert all(abs(taken[s] - targets[s]) <= 1 for s in sizes)
+
+
+@pytest.mark.parametrize("shards,blocks", [(1, 3), (2, 5), (16, 4096)])
+def test_takes_are_whole_in_words(spark, monkeypatch, shards, blocks):
+    real = op.plan
+    monkeypatch.setattr(op, "plan", lambda totals: real(totals, shards, blocks))
+    rng = random.Random(shards)
+    rows = [(rng.choice("aaaab"), rng.choice([0, 1, 13, 90])) for _ in range(300)] + [("c", 1), ("d", 7)]
+    docs = spark.createDataFrame([(i, s, n) for i, (s, n) in enumerate(rows)], "doc_id long, source string, n long")
+    taken, targets = {}, {}
+    for r in op.place(docs, op.fit(docs, F.col("n")), F.col("n")).collect():
+        taken[r.source] = taken.get(r.source, 0) + sum((x.high - x.low) * x.times for x in r.mix.runs)
+        targets[r.source] = r.mix.target
+    assert all(abs(taken[s] - targets[s]) <= 1 for s in targets)
+    assert sum(taken.values()) == round(sum(targets.values()))

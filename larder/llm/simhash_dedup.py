@@ -18,6 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from larder.llm.common import stage, table
 from larder.llm.components import components
@@ -104,14 +105,19 @@ def link(prints: DataFrame, tile: int = TILE) -> DataFrame:
     return over_groups(dealt, ["table", "piece", "one", "two"], [], _links, "a long, b long")
 
 
+def _named(prints: DataFrame) -> DataFrame:
+    """``fp``, ``first`` (its least id) and ``name`` of its component, from rows of ``doc_id``, ``fp``."""
+    firsts = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("first")))
+    named = components(link(firsts.select("fp"))).withColumnRenamed("node", "fp")
+    return stage(firsts.join(named, "fp", "left").withColumn("name", F.coalesce("name", "fp")))
+
+
 def classes(prints: DataFrame) -> DataFrame:
     """``fp`` and ``component_id`` from rows of ``doc_id``, ``fp``: the least id reachable.
 
     Null ids link like others but name no component unless there is no other.
     """
-    firsts = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    named = components(link(firsts.select("fp"))).withColumnRenamed("node", "fp")
-    named = stage(firsts.join(named, "fp", "left").withColumn("name", F.coalesce("name", "fp")))
+    named = _named(prints)
     least = named.groupBy(F.col("name").alias("n")).agg(F.min("first").alias("component_id"))
     return named.join(least, F.col("name") == F.col("n")).select("fp", "component_id")
 
@@ -127,15 +133,24 @@ def op7_simhash(spark, sf_dir: str) -> DataFrame:
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+@F.pandas_udf(LongType())
+def _print(text: pd.Series) -> pd.Series:
+    return pd.Series(np.array([fingerprint(t) for t in text], dtype=np.uint64).view(np.int64))
+
+
 def keep_first(docs: DataFrame) -> DataFrame:
     """One row of each component of ``docs``, the one of least doc_id, columns as they came.
 
-    Rows that share that id and fingerprint are copies; one of them stays, by its other columns in order.
+    Ids may be null or shared by unlike texts; null ones come last, and of equal ones the least
+    fingerprint stays. Rows that share id and fingerprint are copies; one of them stays, by its
+    other columns in order.
     """
     prints = stage(with_fingerprint(docs))
-    firsts = stage(classes(prints)).select(F.col("component_id").alias("first")).distinct()
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("id"))
-    rows = rows.join(firsts, F.col("id").eqNullSafe(F.col("first")), "left_semi")
+    order = F.struct(F.col("first").isNull(), F.col("first"), F.col("fp"))
+    firsts = stage(_named(prints).groupBy("name").agg(F.min_by(F.struct("fp", "first"), order).alias("least"))).select("least.*")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("id"), _print("text").alias("print"))
+    rows = rows.join(firsts, (F.col("print") == F.col("fp")) & F.col("id").eqNullSafe(F.col("first")), "left_semi")
     # maps have no order
     by = F.struct(*[F.col(f"row.`{c}`") for c, kind in docs.dtypes if "map<" not in kind])
-    return rows.groupBy("id").agg(F.min_by("row", by).alias("row")).select("row.*")
+    # each component has one fingerprint left
+    return rows.groupBy("print").agg(F.min_by("row", by).alias("row")).select("row.*")

@@ -101,3 +101,18 @@ def test_one_stays(spark, documents):
     kept = op.keep_first(docs.unionByName(docs))
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [0, 2, 3]
     assert op.keep_first(docs.where("false")).collect() == []
+
+
+def test_one_stays_of_each_group_whatever_the_ids(spark, documents):
+    rng = random.Random(3)
+    a, b, c, d, e, f = (" ".join(f"{name}{rng.randrange(1000)}" for _ in range(60)) for name in "abcdef")
+    # unlinked texts without id, a copy of one, and copies of one with an id; id 7 has two unlike texts;
+    # id 5 is the least of one group and stands in another whose least is 1
+    rows = [(None, a), (None, b), (None, b.upper()), (None, c), (9, c), (7, d), (7, e), (8, e.upper()), (5, a[::-1]), (5, f), (1, f.upper()), (6, a[::-1].upper())]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], documents("x").schema)
+    want = [(None, a), (None, b), (9, c), (7, d), (7, e), (5, a[::-1]), (1, f.upper())]
+    groups = classes([fingerprint(t) for _, t in rows])
+    assert len(set(groups)) == len(want)
+    got = [(r.doc_id, r.text) for r in op.keep_first(docs.unionByName(docs)).collect()]
+    key = lambda x: (x[0] is None, x[0] or 0, x[1].lower())
+    assert sorted(((i, t.lower()) for i, t in got), key=key) == sorted(((i, t.lower()) for i, t in want), key=key)

@@ -5,7 +5,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import bpe, embedding_dedup, lm_scoring, mixing, oracle, quality_rules, secret_scan, sharding, simhash_dedup, substring_dedup, token_counts
+from larder.llm import bpe, conversation_repair, embedding_dedup, lm_scoring, mixing, oracle, quality_rules, secret_scan, sharding, simhash_dedup, substring_dedup, token_counts
 from larder.llm.common import ship
 
 
@@ -21,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_secret_scan": secret_scan.op8_secret_scan,
         "op9_mixing": mixing.op9_mixing,
         "op10_embedding_dedup": embedding_dedup.op10_embedding_dedup,
+        "op13_conversation_repair": conversation_repair.op13_conversation_repair,
         "pipeline": corpus_pipeline.run,
     }
     return {name: _shipped(query) for name, query in found.items()}

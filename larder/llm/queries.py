@@ -5,7 +5,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import bpe, conversation_repair, embedding_dedup, lm_scoring, mixing, oracle, packing, quality_rules, secret_scan, sharding, simhash_dedup, substring_dedup, token_counts
+from larder.llm import bpe, conversation_repair, embedding_dedup, lm_scoring, mixing, oracle, packing, quality_rules, secret_scan, sharding, simhash_dedup, spelling, substring_dedup, token_counts
 from larder.llm.common import ship
 
 
@@ -22,6 +22,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_mixing": mixing.op9_mixing,
         "op10_embedding_dedup": embedding_dedup.op10_embedding_dedup,
         "op11_best_fit_packing": packing.op11_best_fit_packing,
+        "op12_spelling_variants": spelling.op12_spelling_variants,
         "op13_conversation_repair": conversation_repair.op13_conversation_repair,
         "pipeline": corpus_pipeline.run,
     }

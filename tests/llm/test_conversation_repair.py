@@ -6,9 +6,11 @@ import random
 import re
 import zlib
 
+import duckdb
 import pytest
 
 from larder.llm import conversation_repair as op
+from larder.llm import oracle
 
 SCHEMA = "conv_id long, turn long, role string, text string"
 LEGAL = re.compile(r"(s?(ua)+)?")
@@ -175,3 +177,16 @@ def test_query(spark, write):
     got = op.op13_conversation_repair(spark, write(conversations=spark.createDataFrame(rows, SCHEMA))).collect()
     want = [expected(c, by_turn(found)) if found else (c, 0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest()) for c, found in harmed(rows).items()]
     assert sorted(map(str, (tuple(r) for r in got))) == sorted(map(str, want))
+
+
+def test_query_equals_sql(spark, write):
+    rng = random.Random(16)
+    rows = [(c, t, rng.choice(["user", "assistant", "system", "tool", None]), rng.choice(["Go. Now!", "ok", None, "Why?", f"é{t}."]))
+            for c in [*range(200), None] for t in [*range(rng.randint(0, 6)), None]]
+    rows += rows[:60]
+    where = write(conversations=spark.createDataFrame(rows, SCHEMA))
+    duck = duckdb.connect()
+    duck.execute(f"create view conversations as select * from '{where}/conversations.parquet/*.parquet'")
+    cursor = duck.execute(oracle.OP13)
+    got = op.op13_conversation_repair(spark, where).select(*[c[0] for c in cursor.description]).collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, cursor.fetchall()))

@@ -5,9 +5,11 @@ import re
 import zlib
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pytest
 
+from larder.llm import oracle
 from larder.llm import spelling as op
 
 
@@ -126,3 +128,15 @@ def test_null_ids_other_columns_and_no_rows(spark):
     assert {tuple(r) for r in words.collect()} == set(expected_words([r[:2] for r in rows]).items())
     none = spark.createDataFrame([], "doc_id long, text string")
     assert op.variants(op.vocabulary(none)).collect() == []
+
+
+def test_query_equals_sql(spark, write, documents):
+    rng = random.Random(16)
+    stems = words_of(rng, 150, "abcÀé", (7, 8)) + ["colourful", "Colorful", "neighbour"]
+    texts = [None, "", *[" ".join(rng.choice(stems[:rng.choice([3, 20, 150])]) for _ in range(60)) for _ in range(60)]]
+    where = write(documents=documents(*texts))
+    duck = duckdb.connect()
+    duck.execute(f"create view documents as select * from '{where}/documents.parquet/*.parquet'")
+    cursor = duck.execute(oracle.OP12)
+    got = op.op12_spelling_variants(spark, where).select(*[c[0] for c in cursor.description]).collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, cursor.fetchall())) and any(r["form"] for r in got)

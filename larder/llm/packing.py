@@ -134,7 +134,15 @@ def plan(counts: dict[int, int], capacity: Capacity = Capacity()) -> np.ndarray:
 
 
 class Ids:
-    """Token ids of texts. Words between blanks are told apart from each other by the tokenizer, so different ones are asked for once."""
+    """Token ids of texts, the same as of each whole text at once.
+
+    The tokenizer never looks across a blank, nor across a letter and the mark behind it, so
+    it is asked once for each different part between blanks, without a mark at its end and
+    in small letters. Parts of letters alone are one word each, and the last token of a word tells that it
+    is, so many of them go in one call. Other parts go one by one, as they are.
+    """
+
+    _MARKS = ".,;:!?"
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -143,36 +151,80 @@ class Ids:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.ends_word = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
+        for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
+            self.ends_word[i] = token.endswith("</w>")
+        self.marks = {m: self._encode([m])[0][0] for m in self._MARKS}
         self.forget()
 
+    def _encode(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
     def forget(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known: dict[str, int] = {}  # parts as they stand in texts
+        self.cores: dict[str, int] = {}  # and without mark, in small letters
         self.chars = 0
+        self.core = np.zeros(0, dtype=np.int64)
+        self.mark = np.zeros(0, dtype=np.int64)
         self.pool = np.zeros(0, dtype=np.uint32)
         self.starts = np.zeros(0, dtype=np.int64)
         self.sizes = np.zeros(0, dtype=np.int64)
 
-    def learn(self, words: list[str]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        self.known.update(zip(words, range(len(self.known), len(self.known) + len(words))))
-        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words of letters, one after the other, and how many each has."""
+        found = self._encode([" ".join(words[i:i + 100]) for i in range(0, len(words), 100)])
+        ids = np.fromiter(chain.from_iterable(found), dtype=np.uint32, count=sum(map(len, found)))
+        sizes = np.diff(np.flatnonzero(self.ends_word[ids]), prepend=-1)
+        if len(sizes) != len(words):
+            raise ValueError("the vocabulary does not mark the ends of words")
+        return ids, sizes
+
+    def _learn_cores(self, new: list[str], plain: list[bool]) -> None:
+        words = [c for c, p in zip(new, plain) if p]
+        others = [c for c, p in zip(new, plain) if not p]
+        ids, sizes = self._words(words)
+        found = self._encode(others)
+        sizes = np.concatenate([sizes, np.fromiter(map(len, found), dtype=np.int64, count=len(found))])
+        self.cores.update(zip(words + others, range(len(self.cores), len(self.cores) + len(new))))
         self.starts = np.concatenate([self.starts, len(self.pool) + np.cumsum(sizes) - sizes])
         self.sizes = np.concatenate([self.sizes, sizes])
-        self.pool = np.concatenate([self.pool, np.fromiter(chain.from_iterable(found), dtype=np.uint32, count=int(sizes.sum()))])
-        self.chars += sum(map(len, words))
+        self.pool = np.concatenate([self.pool, ids, np.fromiter(chain.from_iterable(found), dtype=np.uint32)])
+
+    def learn(self, parts: list[str]) -> None:
+        """Ids of parts that are not known yet."""
+        cores, marks, plain = [], [], {}
+        for part in parts:
+            mark = -1
+            if part[-1:] in self.marks and part[-2:-1].isalpha() and part[-2] <= "ÿ":
+                mark, part = self.marks[part[-1]], part[:-1]
+            if part.isalpha() and (part.isascii() or max(part) <= "ÿ"):
+                part = part.lower()
+                plain[part] = True
+            cores.append(part)
+            marks.append(mark)
+        new = [c for c in dict.fromkeys(cores) if c not in self.cores]
+        self._learn_cores(new, [c in plain for c in new])
+        self.known.update(zip(parts, range(len(self.known), len(self.known) + len(parts))))
+        self.core = np.concatenate([self.core, np.fromiter(map(self.cores.__getitem__, cores), dtype=np.int64, count=len(cores))])
+        self.mark = np.concatenate([self.mark, np.array(marks, dtype=np.int64)])
+        self.chars += sum(map(len, parts))
 
     def of(self, texts: list[str]) -> list[np.ndarray]:
-        """The ids of each text, as of the whole text at once."""
         if self.chars > _KNOWN:
             self.forget()
         parts = [t.replace("\n", " ").split(" ") for t in texts]
-        new = sorted(set().union(*parts).difference(self.known))
+        new = set().union(*parts).difference(self.known)
         if new:
-            self.learn(new)
+            self.learn(list(new))
         at = np.fromiter(map(self.known.__getitem__, chain.from_iterable(parts)), dtype=np.int64, count=sum(map(len, parts)))
-        sizes = self.sizes[at]
+        core, mark = self.core[at], self.mark[at]
+        marked = mark >= 0
+        sizes = self.sizes[core] + marked
         ends = np.cumsum(sizes)
-        flat = self.pool[np.repeat(self.starts[at] - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)]
+        place = np.repeat(self.starts[core] - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)
+        place[ends[marked] - 1] = 0
+        flat = self.pool[place] if len(self.pool) else np.zeros(len(place), dtype=np.uint32)
+        flat[ends[marked] - 1] = mark[marked]
         last = np.cumsum([len(p) for p in parts]) - 1
         return np.split(flat, ends[last][:-1]) if texts else []
 

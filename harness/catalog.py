@@ -317,6 +317,14 @@ def c14_unknown_employees(c: Case) -> DataFrame:
     return flagged.groupBy("Employee_ID", "is_unknown_employee").agg(F.sum("rows").alias("rows"))
 
 
+def c13_unknown_menu_counts(c: Case) -> DataFrame:
+    return quality.unknown_menu_counts(c.clean, c.known_menus)
+
+
+def c14_unknown_employee_counts(c: Case) -> DataFrame:
+    return quality.unknown_employee_counts(c.clean, c.known_employees)
+
+
 def c15_tagged_sales(c: Case) -> DataFrame:
     return c.tagged.select(*readers.SALES_COLUMNS, *quality.PARSED, REASON)
 
@@ -371,7 +379,7 @@ def w07_stock_profile(c: Case) -> DataFrame:
 
 def d01_unit_conversion(c: Case) -> DataFrame:
     converted = dims.convert_thresholds(c.inventory, c.cartons)
-    return converted.select("Item_ID", "Supplier_UoM", "Min_Stock_Threshold", "Min_Threshold")
+    return converted.select("Item_ID", "Supplier_UoM", "Min_Stock_Threshold", "Min_Threshold", "Fallback_Reason")
 
 
 def d02_last_threshold(c: Case) -> DataFrame:
@@ -682,7 +690,8 @@ for _query in (
     s06_source_policy, s07_report_sink, s08_quarantine_sink,
     c01_null_tokens, c02_keep_first, c03_error_flag, c04_missing_critical, c05_parse_timestamp,
     c06_bad_dates, c07_dates, c08_parse_quantity, c09_negative_quantity, c10_bad_quantity, c11_zero_quantity,
-    c12_valid_sales, c13_unknown_menus, c14_unknown_employees, c15_tagged_sales, c16_metrics,
+    c12_valid_sales, c13_unknown_menus, c13_unknown_menu_counts, c14_unknown_employees,
+    c14_unknown_employee_counts, c15_tagged_sales, c16_metrics,
     w01_flatten_stock, w02_key_drift, w03_typed_entries, w04_labels, w05_record_dates,
     w06_clip_negative, w07_stock_profile,
     d01_unit_conversion, d02_last_threshold, d03_recipe_links, d04_known_employees,

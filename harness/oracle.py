@@ -270,6 +270,8 @@ QUERIES = {
         where Quarantine_Reason is null""",
     "c13_unknown_menus": "select Menu_ID, is_ghost_menu, count(*) as rows from clean group by 1, 2",
     "c14_unknown_employees": "select Employee_ID, is_unknown_employee, count(*) as rows from clean group by 1, 2",
+    "c13_unknown_menu_counts": "select Menu_ID, count(*) as rows from clean where is_ghost_menu group by 1",
+    "c14_unknown_employee_counts": "select Employee_ID, count(*) as rows from clean where is_unknown_employee group by 1",
     "c15_tagged_sales": f"""select {_SALES_COLUMNS}, DateTime_Parsed, Date, Quantity_Clean, Quarantine_Reason
         from tagged""",
     "c16_metrics": f"""select count(*) as raw_rows, {_REASON_COUNTS},
@@ -288,7 +290,10 @@ QUERIES = {
     "w07_stock_profile": """select count(*) as rows, count(distinct Date) as days, count(distinct Item_ID) as items,
         count(*) filter (raw_stock < 0) as negative_rows,
         count(*) - count(distinct (Date, Item_ID)) as repeated_rows from stock""",
-    "d01_unit_conversion": "select Item_ID, Supplier_UoM, Min_Stock_Threshold, Min_Threshold from levels",
+    "d01_unit_conversion": """select Item_ID, Supplier_UoM, Min_Stock_Threshold, Min_Threshold,
+        case when trim(Supplier_UoM) = 'Karton' and Carton_Units is null then 'NO_CARTON_UNITS'
+          when coalesce(trim(Supplier_UoM), '') not in ('Karton', 'Kilogram', 'Liter', 'Pcs') then 'UNKNOWN_UNIT'
+        end as Fallback_Reason from levels""",
     "d02_last_threshold": "select * from thresholds",
     "d03_recipe_links": "select Menu_ID, Item_ID, qty_used, BOM_UoM from bom",
     "d04_known_employees": "select * from known_employees",

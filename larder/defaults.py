@@ -29,6 +29,8 @@ UNKNOWN_EMPLOYEE = "UNKNOWN"
 
 ANOMALY_LIMIT = 1000.0
 FALLBACK_THRESHOLD = 20000.0
+NO_CARTON_UNITS = "NO_CARTON_UNITS"
+UNKNOWN_UNIT = "UNKNOWN_UNIT"
 
 # Text that counts as missing in the sales file, and what a dimension file adds
 # to it (the usual default missing-value marks of CSV readers).

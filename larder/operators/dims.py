@@ -49,13 +49,19 @@ def convert_thresholds(
     cartons: DataFrame,
     fallback: float = defaults.FALLBACK_THRESHOLD,
 ) -> DataFrame:
-    """Add ``Min_Threshold``, the reorder level in shelf units."""
+    """Add ``Min_Threshold``, the reorder level in shelf units, and ``Fallback_Reason``.
+
+    The reason is null where the level follows from the item's own one.
+    """
     unit = strip_ws(F.col("Supplier_UoM"))
+    known = unit.isin(defaults.CARTON, *defaults.UNIT_FACTORS)
+    reason = F.when(unit.eqNullSafe(defaults.CARTON) & F.col("Carton_Units").isNull(), defaults.NO_CARTON_UNITS).when(
+        ~F.coalesce(known, F.lit(False)), defaults.UNKNOWN_UNIT)
     level = F.when(unit == defaults.CARTON, F.col("Min_Stock_Threshold") * F.col("Carton_Units"))
     for name, factor in defaults.UNIT_FACTORS.items():
         level = level.when(unit == name, F.col("Min_Stock_Threshold") * factor)
-    return inventory.join(cartons, "Item_ID", "left").withColumn(
-        "Min_Threshold", F.coalesce(level, F.lit(fallback))
+    return inventory.join(cartons, "Item_ID", "left").withColumns(
+        {"Min_Threshold": F.coalesce(level, F.lit(fallback)), "Fallback_Reason": reason}
     )
 
 

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from larder.operators.settle import settle
+
 
 def first_places(df: DataFrame, key: str, order: str = "_ord") -> DataFrame:
     """The first place of every key, null included. Combines before the shuffle."""
@@ -68,25 +70,33 @@ def lag_in_order(
     """``value`` of the previous row of the same key, in one total order.
 
     ``chunks`` cut the order into runs, the finest first; none may decrease along
-    ``order``, and each run lies within one of the next coarser cut. Inside a run the lag is
-    taken per (key, run). Only the first row of a run still lacks its value, and
-    that is the last row of the run before it, so the next cut needs the first and
-    last rows of runs alone, and at last the whole key. The widest group is a run of the finest
-    cut, or twice the runs that one run of the next holds.
+    ``order``, and each run lies within one of the next coarser cut. The rows move once, to
+    their (key, run), where the lag is taken. Only the first row of a run still lacks its
+    value, which is that of the last row of the run before it. So the last rows of runs, one
+    narrow row each, take their own lag by the coarser cuts and at last the whole key, and come back to
+    the runs. The widest group is a run of the finest cut, or the runs that one run of the next holds.
     """
-    finest = F.struct(*chunks[0])
-    df = df.withColumns({"_previous": F.lit(None).cast(df.schema[value].dataType), "_head": F.lit(True), "_tail": F.lit(True)})
-    for chunk in [*chunks, []]:
-        edge = F.col("_head") | F.col("_tail")
-        # Settled rows stand aside, each with its own finest run.
-        run = Window.partitionBy(*key, *chunk, F.when(~edge, finest)).orderBy(*order)
-        alone_before = F.lag(F.lit(True)).over(run).isNull()
-        alone_after = F.lead(F.lit(True)).over(run).isNull()
-        df = df.withColumns(
-            {
-                "_previous": F.when(F.col("_head"), F.lag(value).over(run)).otherwise(F.col("_previous")),
-                "_head": F.col("_head") & alone_before,
-                "_tail": F.col("_tail") & alone_after,
-            }
-        )
-    return df.withColumnRenamed("_previous", name).drop("_head", "_tail")
+    places = [f"_place_{i}" for i in range(len(order))]
+    cuts = [[f"_cut_{i}_{j}" for j in range(len(chunk))] for i, chunk in enumerate(chunks)]
+    own = {**dict(zip(places, order)), **{c: col for names, chunk in zip(cuts, chunks) for c, col in zip(names, chunk)}}
+    if not chunks:
+        return df.withColumn(name, F.lag(value).over(Window.partitionBy(*key).orderBy(*order)))
+    # A struct equals another where both have a null, so that null keys find their runs by a plain join.
+    run_id = f"_run_{len(chunks)}"
+    rows = df.withColumns(own).withColumn(run_id, F.struct(*key, *cuts[0]))
+    run = Window.partitionBy(run_id).orderBy(*places)
+    rows = rows.withColumns(
+        {
+            "_before": F.lag(value).over(run),
+            "_head": F.lag(F.lit(True)).over(run).isNull(),
+            "_tail": F.lead(F.lit(True)).over(run).isNull(),
+        }
+    )
+    # Fenced off, so that both readers of the runs need the same columns of one exchange.
+    rows = settle(rows, [c for c in rows.columns if c != run_id])
+    coarser = [c for names in cuts[1:] for c in names]
+    tails = rows.filter("_tail").select(run_id, *key, *places, *coarser, F.col(value).alias("_value"))
+    tails = lag_in_order(tails, key, [F.col(c) for c in places], [[F.col(c) for c in names] for names in cuts[1:]], "_value", "_earlier")
+    joined = rows.join(tails.select(run_id, "_earlier"), run_id, "left")
+    found = F.when(F.col("_head"), F.col("_earlier")).otherwise(F.col("_before"))
+    return joined.select(*df.columns, found.alias(name))

@@ -1,8 +1,8 @@
 """Cleansing of sales: every rejected row gets exactly one reason."""
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder import defaults
@@ -110,103 +110,19 @@ def flag_unknown_employees(
     return flagged.withColumn(flag, F.col(flag) & listed)
 
 
-REASONS = (defaults.NEGATIVE, defaults.BAD_QUANTITY, defaults.ZERO)
+def unknown_counts(clean: DataFrame, key: str, flag: str, flagged: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Rows per id that the lookup ``flagged`` does not know, from sales counted per id first."""
+    groups = flagged(clean.groupBy(key).agg(F.count("*").alias("_n")))
+    return groups.filter(F.col(flag)).groupBy(key).agg(F.sum("_n").alias("rows"))
 
-Rule = tuple[str, Column]
-
-
-def parse_sales(sales: DataFrame) -> DataFrame:
-    """Add the typed columns; each is null where its text cannot be read."""
-    stamp = timestamp_steps("DateTime", "DateTime_Parsed")
-    quantity = quantity_steps("Quantity", "Quantity_Clean", "is_negative")
-    return apply_steps(sales, stamp, quantity).withColumn("Date", F.to_date("DateTime_Parsed"))
-
-
-def missing_critical() -> Column:
-    """Without these three a sale cannot be used; the id is not among them."""
-    return F.col("DateTime").isNull() | F.col("Menu_ID").isNull() | F.col("Quantity").isNull()
-
-
-def row_rules() -> list[Rule]:
-    """Rules that need one parsed row only, in the order in which they apply."""
-    quantity = F.col("Quantity_Clean")
-    return [
-        (defaults.ERROR_FLAG, is_error_flag(F.col("Additional_Info"))),
-        (defaults.NULL_FIELD, missing_critical()),
-        (defaults.BAD_DATE, F.col("DateTime_Parsed").isNull()),
-        (defaults.NEGATIVE, F.col("is_negative")),
-        (defaults.BAD_QUANTITY, quantity.isNull()),
-        (defaults.ZERO, quantity == 0),
-    ]
-
-
-def first_violation(rules: Sequence[Rule]) -> Column:
-    """Reason of the first rule that holds, null if none does."""
-    (name, broken), *later = rules
-    reason = F.when(broken, F.lit(name))
-    for name, broken in later:
-        reason = reason.when(broken, F.lit(name))
-    return reason
-
-
-def tag_rows(sales: DataFrame) -> DataFrame:
-    """Parse and tag by the row rules alone (also fits a streaming DataFrame)."""
-    tagged = parse_sales(sales).withColumn(REASON, first_violation(row_rules()))
-    return settle(tagged.drop("is_negative"), [*PARSED, REASON])
-
-
-def tag_sales(sales: DataFrame, key: str = "Transaction_ID", order: str = "_ord") -> DataFrame:
-    """Every sale with its typed columns and its one reason.
-
-    A repeated id outranks all other reasons, and the first occurrence counts even
-    if it is itself rejected. Typed columns are filled as far as the row got.
-    """
-    tagged = flag_repeats(tag_rows(sales), key, order, "_repeat", among=sales)
-    reason = F.when(F.col("_repeat"), F.lit(defaults.DUPLICATE)).otherwise(F.col(REASON))
-    tagged = tagged.withColumn(REASON, reason).drop("_repeat")
-    reached = F.col(REASON).isNull() | F.col(REASON).isin(*QUANTITY_REASONS)
-    return tagged.withColumns({c: F.when(reached, F.col(c)) for c in PARSED})
 
+def unknown_menu_counts(clean: DataFrame, menus: DataFrame) -> DataFrame:
+    return unknown_counts(clean, "Menu_ID", "is_ghost_menu", lambda ids: flag_unknown_menus(ids, menus))
 
-def clean_part(tagged: DataFrame) -> DataFrame:
-    return tagged.filter(F.col(REASON).isNull()).drop(REASON)
 
-
-def quarantine_part(tagged: DataFrame) -> DataFrame:
-    return tagged.filter(F.col(REASON).isNotNull())
-
-
-def valid_sales(sales: DataFrame, key: str = "Transaction_ID", order: str = "_ord") -> DataFrame:
-    """The clean part alone, without carrying rejected rows through a shuffle.
-
-    Same rows as ``clean_part(tag_sales(sales))``. Rows that break a row rule go
-    before the join, which then moves the columns the caller uses and no others.
-    """
-    kept = tag_rows(sales).filter(F.col(REASON).isNull()).drop(REASON)
-    return keep_first(kept, key, order, among=sales)
-
-
-def flag_unknown_menus(
-    clean: DataFrame, menus: DataFrame, flag: str = "is_ghost_menu"
-) -> DataFrame:
-    trimmed = clean.withColumn("Menu_ID", strip_ws(F.col("Menu_ID")))
-    return flag_missing(trimmed, "Menu_ID", menus, flag)
-
-
-def flag_unknown_employees(
-    clean: DataFrame, employees: DataFrame, flag: str = "is_unknown_employee"
-) -> DataFrame:
-    """Sales stay as they are if there is no employee list at all."""
-    if employees.isEmpty():
-        return clean.withColumn(flag, F.lit(False))
-    named = F.coalesce(F.col("Employee_ID"), F.lit(defaults.UNKNOWN_EMPLOYEE))
-    return flag_missing(
-        clean.withColumn("Employee_ID", strip_ws(named)), "Employee_ID", employees, flag
-    )
-
-
-def count_unknown(flagged: DataFrame, key: str, flag: str) -> DataFrame:
-    return flagged.filter(F.col(flag)).groupBy(key).agg(F.count("*").alias("rows"))
+def unknown_employee_counts(clean: DataFrame, employees: DataFrame) -> DataFrame:
+    """The sales that someone should look into: they stay valid."""
+    return unknown_counts(clean, "Employee_ID", "is_unknown_employee", lambda ids: flag_unknown_employees(ids, employees))
 
 
 REASONS = (
@@ -251,38 +167,30 @@ def triage(quarantine: DataFrame) -> DataFrame:
     return quarantine.withColumns({"Triage_Class": label, "Recovery": recovery})
 
 
+def _part(rows: str = "rows") -> Column:
+    """A counted row as a part of all counted rows, which are few."""
+    return F.col(rows) / F.sum(rows).over(Window.partitionBy(F.lit(0)))
+
+
 def triage_summary(quarantine: DataFrame) -> DataFrame:
     """Rows per class and the part of the whole quarantine they make up."""
     counted = quarantine.groupBy(REASON).agg(F.count("*").alias("_n"))
     classes = triage(counted).groupBy("Triage_Class", "Recovery").agg(F.sum("_n").alias("rows"))
-    whole = counted.agg(F.sum("_n")).scalar()
-    return classes.select(
-        "*",
-        (F.col("Recovery") != "NONE").alias("recoverable"),
-        (F.col("rows") / whole).alias("share"),
-    )
+    return classes.select("*", (F.col("Recovery") != "NONE").alias("recoverable"), _part().alias("share"))
 
 
 def reason_shares(tagged: DataFrame) -> DataFrame:
     """Each reason as a part of the quarantine and of all sales."""
     counted = tagged.groupBy(REASON).agg(F.count("*").alias("rows"))
     rejected = F.col(REASON).isNotNull()
-    totals = counted.agg(
-        F.sum("rows").alias("all"), F.sum(F.when(rejected, F.col("rows"))).alias("out")
-    )
-    return counted.filter(rejected).select(
-        REASON,
-        "rows",
-        (F.col("rows") / totals.select("out").scalar()).alias("share_of_quarantine"),
-        (F.col("rows") / totals.select("all").scalar()).alias("share_of_total"),
-    )
+    shared = counted.withColumn("share_of_total", _part())
+    return shared.filter(rejected).select(REASON, "rows", _part().alias("share_of_quarantine"), "share_of_total")
 
 
 def value_shares(df: DataFrame, column: str) -> DataFrame:
     """Rows per value of ``column`` and their part of the table."""
     counted = df.groupBy(column).agg(F.count("*").alias("rows"))
-    whole = counted.agg(F.sum("rows")).scalar()
-    return counted.select(column, "rows", (F.col("rows") / whole).alias("share"))
+    return counted.select(column, "rows", _part().alias("share"))
 
 
 def item_quarantine_rate(

@@ -126,6 +126,25 @@ def test_lag_keeps_groups_small(spark, days, each):
     assert widest <= 6 * (days * each) ** 0.5
 
 
+def test_lag_moves_whole_rows_once(spark, tmp_path):
+    rows = [(f"k{i % 5}", i, float(i), "x" * 50) for i in range(2000)]
+    spark.createDataFrame(rows, "k string, i bigint, v double, wide string").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    got = lag_in_order(df, ["k"], [F.col("i")], [[F.shiftright("i", 4)], [F.shiftright("i", 8)]], "v", "p")
+    assert got.count() == 2000 and got.filter("p is not null and p <> v - 5").count() == 0
+    got.collect()
+    plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("FileScan") == 1 and plan.count("ReusedExchange") >= 1
+    assert plan.count("Exchange hashpartitioning(_run_2") == 1 + plan.count("BuildRight")
+
+
+def test_null_keys_have_a_previous_row(spark):
+    df = spark.createDataFrame([(None, i, float(i)) for i in range(40)] + [("a", i, -float(i)) for i in range(40)], "k string, i bigint, v double")
+    got = lag_in_order(df, ["k"], [F.col("i")], [[F.shiftright("i", 2)], [F.shiftright("i", 4)]], "v", "p").collect()
+    assert {(r["k"], r["i"]): r["p"] for r in got} == {
+        (k, i): (None if i == 0 else sign * float(i - 1)) for k, sign in ((None, 1), ("a", -1)) for i in range(40)}
+
+
 def _records(spark, records):
     schema = "record_id string, date string, recorded_by string, stock_entries array<map<string,string>>, _ord bigint"
     return spark.createDataFrame([(f"r{i}", d, "e", e, i) for i, (d, e) in enumerate(records)], schema)

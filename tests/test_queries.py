@@ -1,6 +1,8 @@
 """Queries against their SQL on the smallest tables; the driver runs the rest."""
 
+import ast
 import os
+from pathlib import Path
 
 import duckdb
 import pytest
@@ -51,3 +53,40 @@ def test_sale_order_is_unique(duck, size):
         f"select count(*), count(distinct ({key})) from '/root/testdata/{size}/lineitem.parquet'"
     ).fetchone()
     assert rows == distinct
+
+
+# Queries that write files or tables, or bracket a quantile, before their result is asked for.
+SCHEMAS = {}
+EAGER = {
+    "s01_csv_scan", "s02_stock_scan", "s03_inventory_scan", "s04_menu_scan", "s05_employee_scan", "s06_source_policy",
+    "s07_report_sink", "s08_quarantine_sink", "b10_action_report", "b11_run_summary", "t02_outlier_bound", "t05_role_views", "t06_datasets",
+}
+
+
+@pytest.mark.parametrize("name", sorted(set(catalog.queries()) - EAGER))
+def test_building_a_query_starts_no_job(spark, monkeypatch, name):
+    def table(spark, sf_dir, name):
+        # Spark starts a job to find the schema of files, so it is given
+        if name not in SCHEMAS:
+            SCHEMAS[name] = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
+        return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+
+    for source in ("lineitem", "orders", "part", "supplier"):
+        table(spark, DIR, source)
+    monkeypatch.setattr(inputs, "_table", table)
+    context = spark.sparkContext
+    context.setJobGroup(f"build-{name}", name)
+    try:
+        catalog.queries()[name](spark, DIR)
+        assert list(context.statusTracker().getJobIdsForGroup(f"build-{name}")) == []
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+
+
+@pytest.mark.parametrize("module", sorted(Path(contract.__file__).parent.glob("larder/**/*.py")), ids=str)
+def test_nothing_is_defined_twice(module):
+    if "llm" in module.parts:
+        pytest.skip("has its own tests")
+    names = [n.name for n in ast.parse(module.read_text()).body if isinstance(n, (ast.FunctionDef, ast.ClassDef))]
+    names += [t.id for n in ast.parse(module.read_text()).body if isinstance(n, ast.Assign) for t in n.targets if isinstance(t, ast.Name)]
+    assert len(names) == len(set(names))

@@ -154,17 +154,18 @@ def s01_csv_scan(c: Case) -> DataFrame:
 
 
 def _json_documents(df: DataFrame, field: str, by: Column, path: str) -> None:
-    """One document per value of ``by``, each with an array of records."""
+    """One file with one document per value of ``by``, with an array of records."""
     record = F.struct(*[col for col in df.columns if col != "_ord"])
     documents = df.groupBy(by.alias("_by")).agg(F.collect_list(record).alias(field))
-    documents.select(field).write.option("ignoreNullFields", False).json(path)
+    text = F.to_json(F.struct(field), {"ignoreNullFields": "false"})
+    documents.select(F.coalesce(F.col("_by").cast("string"), F.lit("none")).alias("_by"), text.alias("value")).write.partitionBy("_by").text(path)
 
 
 def s02_stock_scan(c: Case) -> DataFrame:
     path = new_path(c.spark, "stock")
-    # A document holds the records of 32 days: a few dozen, whatever the volume.
-    _json_documents(c.records, "records", F.floor(F.col("_ord") / 64), path)
-    read = readers.read_stock_records(c.spark, path, multi_line=False)
+    # A document holds the records of a year, two a day at most.
+    _json_documents(c.records, "records", F.floor(F.col("_ord") / 744), path)
+    read = readers.read_stock_records(c.spark, path)
     return read.select("record_id", "date", "recorded_by", F.size("stock_entries").cast("bigint").alias("entries"))
 
 
@@ -177,7 +178,7 @@ def s03_inventory_scan(c: Case) -> DataFrame:
 def s04_menu_scan(c: Case) -> DataFrame:
     path = new_path(c.spark, "menus")
     _json_documents(c.menus, "menu_items", F.floor(F.col("_ord") / 5), path)
-    read = readers.read_menus(c.spark, path, multi_line=False)
+    read = readers.read_menus(c.spark, path)
     return read.select(
         "Menu_ID", "Menu_Name", "Selling_Price_IDR", F.size("ingredients").cast("bigint").alias("links")
     )
@@ -186,18 +187,18 @@ def s04_menu_scan(c: Case) -> DataFrame:
 def s05_employee_scan(c: Case) -> DataFrame:
     path = new_path(c.spark, "employees")
     _json_documents(c.employees, "employees", F.col("Shift"), path)
-    return readers.read_employees(c.spark, path, multi_line=False).drop("_ord")
+    return readers.read_employees(c.spark, path).drop("_ord")
 
 
 def s06_source_policy(c: Case) -> DataFrame:
     path = new_path(c.spark, "sources")
     sinks.write_table(c.raw_sales.select(*readers.SALES_COLUMNS), f"{path}/sales", "csv")
-    _json_documents(c.records, "records", F.floor(F.col("_ord") / 64), f"{path}/stock")
+    _json_documents(c.records, "records", F.floor(F.col("_ord") / 744), f"{path}/stock")
     sinks.write_table(c.raw_inventory.drop("_ord"), f"{path}/inventory", "csv")
     _json_documents(c.menus, "menu_items", F.floor(F.col("_ord") / 5), f"{path}/menus")
     loaded = flows.load(
         c.spark, f"{path}/sales", f"{path}/stock", f"{path}/inventory", f"{path}/menus",
-        f"{path}/no-such-employees", multi_line_json=False,
+        f"{path}/no-such-employees",
     )
     rows = None
     for source, df, required in (

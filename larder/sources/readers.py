@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from larder import defaults
 from larder.functions.numbers import nan_to_null, parse_float, prepare
 from larder.functions.text import null_if_token, strip_ws
+from larder.sources.splitting import read_csv_records, read_json_elements
 
 SALES_COLUMNS = (
     "Transaction_ID", "DateTime", "Employee_ID", "Menu_ID", "Item_Name",
@@ -70,22 +71,25 @@ def normalise_nulls(
 
 
 def read_text_csv(
-    spark: SparkSession, path: str, columns: Sequence[str], multi_line: bool = True
+    spark: SparkSession, path: str, columns: Sequence[str], multi_line: bool = True, split: bool = False
 ) -> DataFrame:
     """A CSV with header, the named columns as text, plus ``_ord``.
 
     Columns are found by the names in the header, whatever their order, and others
     are left out; a missing one, or files of different headers, raise. A line with
-    fewer fields than the header ends in nulls, one with more fails the job. A file with line
-    breaks inside quotes cannot be split; ``multi_line=False`` lets Spark split big
-    files that have none. It then fails the job on a line that ends early in an open quote; an
-    open quote in the last field cannot be told from text.
+    fewer fields than the header ends in nulls, one with more fails the job. Fields may hold
+    line breaks inside quotes; with ``split`` many tasks share a file all the same, at the price of reading it
+    two or three times. ``multi_line=False`` is for files without such breaks: Spark splits
+    them, and the job fails on a line that ends early in an open quote; an open quote in
+    the last field cannot be told from text.
     """
     options = {"header": True, "multiLine": multi_line, "escape": '"'}
     names = spark.read.options(**options).csv(path).columns
     missing = [c for c in columns if c not in names]
     if missing:
         raise ValueError(f"{path} has no column {', '.join(missing)}; its header is {', '.join(names)}")
+    if split and multi_line:
+        return read_csv_records(spark, path, names, _ddl).select(*columns, "_ord")
     # Pruned columns are not parsed, and surplus fields would go unnoticed.
     rows = spark.read.options(
         **options, enforceSchema=False, columnPruning=False, columnNameOfCorruptRecord=_LINE
@@ -100,8 +104,8 @@ def read_text_csv(
     return checked.select(*columns, _place_in_file().alias("_ord"))
 
 
-def read_sales(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    return normalise_nulls(read_text_csv(spark, path, SALES_COLUMNS, multi_line), columns=SALES_COLUMNS)
+def read_sales(spark: SparkSession, path: str, multi_line: bool = True, split: bool = True) -> DataFrame:
+    return normalise_nulls(read_text_csv(spark, path, SALES_COLUMNS, multi_line, split), columns=SALES_COLUMNS)
 
 
 def clean_inventory(raw: DataFrame) -> DataFrame:
@@ -153,13 +157,16 @@ def read_source(
     element: T.StructType,
     required: bool = True,
     multi_line: bool = True,
+    split: bool = False,
 ) -> DataFrame:
     """A JSON source; a missing or broken one stops the run only if ``required``.
 
     A broken document of a required source fails the job. A broken document of an
-    optional one gives no rows, and a missing path gives an empty table. With
-    ``multi_line=False`` every line is a document, and big files can be split.
+    optional one gives no rows, and a missing path gives an empty table. A file is one document;
+    with ``split`` many tasks share it if it is required. With ``multi_line=False`` every line is a document.
     """
+    if required and split and multi_line:
+        return read_json_elements(spark, path, field, element)
     try:
         mode = "FAILFAST" if required else "PERMISSIVE"
         return _read_documents(spark, path, field, element, mode, multi_line)
@@ -176,12 +183,12 @@ def read_source(
         return spark.createDataFrame([], T.StructType([*element.fields, T.StructField("_ord", place)]))
 
 
-def read_stock_records(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    return read_source(spark, path, "records", STOCK_RECORD, multi_line=multi_line)
+def read_stock_records(spark: SparkSession, path: str, multi_line: bool = True, split: bool = True) -> DataFrame:
+    return read_source(spark, path, "records", STOCK_RECORD, multi_line=multi_line, split=split)
 
 
-def read_menus(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    return read_source(spark, path, "menu_items", MENU, multi_line=multi_line)
+def read_menus(spark: SparkSession, path: str, multi_line: bool = True, split: bool = True) -> DataFrame:
+    return read_source(spark, path, "menu_items", MENU, multi_line=multi_line, split=split)
 
 
 def read_employees(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:

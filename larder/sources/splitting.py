@@ -28,7 +28,6 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 WHOLE, HEAD, MIDDLE, TAIL, HEADER, BROKEN = range(6)
 _RECORDS = "file bigint, block bigint, row bigint, part int, text string"
-_SEND = 8192
 
 
 def _parts(spark: SparkSession, path: str, separator: str) -> DataFrame:
@@ -45,7 +44,7 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 
 def _over_parts(begin: Callable, names: Sequence[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Reads each part of a file by a reader of its own, a generator that is sent texts and gives rows.
+    """Reads each part of a file by a reader of its own, a generator that is sent lists of texts and gives lists of rows.
 
     ``begin(*given)`` makes it from the part's other columns; it is sent None at the end.
     """
@@ -53,23 +52,26 @@ def _over_parts(begin: Callable, names: Sequence[str]) -> Callable[[Iterator[pa.
     schema = pa.schema([(n, kinds[k]) for n, k in (x.strip().split(" ") for x in names)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, reader, out = None, None, []
+        now, reader = None, None
         for batch in batches:
             values = batch.column("value").to_pylist()
             given = list(zip(*(c.to_pylist() for n, c in zip(batch.schema.names, batch.columns) if n != "value")))
-            for value, part in zip(values, given):
+            start = 0
+            while start < len(values):
+                part, end = given[start], start + 1
+                while end < len(values) and given[end] == part:
+                    end += 1
+                out = []
                 if part != now:
                     if reader is not None:
-                        out.extend(reader.send(None))
+                        out = reader.send(None)
                     now, reader = part, begin(*part)
                     next(reader)
-                out.extend(reader.send(value))
-                if len(out) >= _SEND:
+                out = out + reader.send(values[start:end])
+                if out:
                     yield _batch(out, schema)
-                    out = []
-        if reader is not None:
-            out.extend(reader.send(None))
-        if out:
+                start = end
+        if reader is not None and (out := reader.send(None)):
             yield _batch(out, schema)
 
     return run
@@ -141,42 +143,36 @@ def ends_in_quotes(line: str, inside: bool) -> bool:
 def _quote_sums(file: int, block: int) -> Iterator[list[tuple]]:
     ends = {False: False, True: True}
     rows: list[tuple] = []
-    while True:
-        line = yield rows
-        if line is None:
-            rows = [(file, block, ends[False], ends[True])]
-        elif '"' in line:
-            first = ends_in_quotes(line, ends[False])
-            ends = {False: first, True: first if ends[False] == ends[True] else ends_in_quotes(line, ends[True])}
+    while (lines := (yield rows)) is not None:
+        for line in lines:
+            if '"' in line:
+                first = ends_in_quotes(line, ends[False])
+                ends = {False: first, True: first if ends[False] == ends[True] else ends_in_quotes(line, ends[True])}
+    yield [(file, block, ends[False], ends[True])]
 
 
 def _csv_reader(file: int, block: int, inside: bool) -> Iterator[list[tuple]]:
     """Records of one part; a break inside quotes reads as a line feed, and empty lines between records go."""
-    row, begun, lines, header = 0, -1, [], block == 0
+    row, begun, record, header = 0, -1, [], block == 0
     rows: list[tuple] = []
-    while True:
-        line = yield rows
+    while (lines := (yield rows)) is not None:
         rows = []
-        if line is None:
-            if inside:
-                part = BROKEN if header else HEAD if begun >= 0 else MIDDLE
-                rows = [(file, block, max(begun, 0), part, "\n".join(lines))]
-            continue
-        line = line.removesuffix("\r")
-        if not inside and not lines:
-            begun = row
-        row += 1
-        if '"' in line:
-            inside = ends_in_quotes(line, inside)
-        if line or inside or lines:
-            lines.append(line)
-        if not inside and lines:
-            part = TAIL if begun < 0 else HEADER if header else WHOLE
-            header = header and part == TAIL
-            rows = [(file, block, max(begun, 0), part, "\n".join(lines))]
-            lines, begun = [], row
-        elif not inside:
-            begun = row
+        for line in lines:
+            line = line.removesuffix("\r")
+            if not inside and not record:
+                begun = row
+            row += 1
+            if '"' in line:
+                inside = ends_in_quotes(line, inside)
+            if line or inside or record:
+                record.append(line)
+            if not inside and record:
+                part = TAIL if begun < 0 else HEADER if header else WHOLE
+                header = header and part == TAIL
+                rows.append((file, block, max(begun, 0), part, "\n".join(record)))
+                record, begun = [], row
+    part = BROKEN if header else HEAD if begun >= 0 else MIDDLE
+    yield [(file, block, max(begun, 0), part, "\n".join(record))] if inside else []
 
 
 def _quote_states(parts: DataFrame) -> DataFrame:
@@ -259,20 +255,21 @@ class Brackets:
             yield token.start(), mark
 
 
-def _ended(texts_of: Callable[[], Iterator]) -> Callable:
-    """Gives a reader the braces back that its texts were cut at; only the last text of an unfinished file has none."""
+def _ended(texts_of: Callable) -> Callable:
+    """Gives a reader one text for a list, with the braces that it was cut at; only the last text of an unfinished file has none."""
 
     def reader(*given) -> Iterator[list[tuple]]:
         inner = texts_of(*given)
         next(inner)
         unfinished = given[3]
-        last, rows = None, []
-        while True:
-            text = yield rows
-            rows = [] if last is None else inner.send(last if text is None and unfinished else last + "}")
-            if text is None:
-                rows = rows + inner.send(None)
-            last = text
+        last: list[str] = []
+        rows: list[tuple] = []
+        while (texts := (yield rows)) is not None:
+            whole = "}".join([*last, *texts[:-1], ""])
+            rows = inner.send(whole) if whole else []
+            last = texts[-1:]
+        rows = inner.send(last[0] + ("" if unfinished else "}")) if last else []
+        yield rows + inner.send(None)
 
     return reader
 

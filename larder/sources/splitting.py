@@ -15,6 +15,7 @@ import re
 import sys
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -55,13 +56,13 @@ def _over_parts(begin: Callable, names: Sequence[str]) -> Callable[[Iterator[pa.
         now, reader = None, None
         for batch in batches:
             values = batch.column("value").to_pylist()
-            given = list(zip(*(c.to_pylist() for n, c in zip(batch.schema.names, batch.columns) if n != "value")))
-            start = 0
-            while start < len(values):
-                part, end = given[start], start + 1
-                while end < len(values) and given[end] == part:
-                    end += 1
-                out = []
+            given = [c for n, c in zip(batch.schema.names, batch.columns) if n != "value"]
+            file, block = (batch.column(n).to_numpy() for n in ("file", "block"))
+            cuts = np.flatnonzero((file[1:] != file[:-1]) | (block[1:] != block[:-1])) + 1
+            for start, end in zip([0, *cuts.tolist()], [*cuts.tolist(), len(values)]):
+                if start == end:
+                    continue
+                part, out = tuple(c[start].as_py() for c in given), []
                 if part != now:
                     if reader is not None:
                         out = reader.send(None)
@@ -70,7 +71,6 @@ def _over_parts(begin: Callable, names: Sequence[str]) -> Callable[[Iterator[pa.
                 out = out + reader.send(values[start:end])
                 if out:
                     yield _batch(out, schema)
-                start = end
         if reader is not None and (out := reader.send(None)):
             yield _batch(out, schema)
 
@@ -222,10 +222,10 @@ def read_csv_records(spark: SparkSession, path: str, names: Sequence[str], ddl:
 
 # One JSON document a file.
 
-_STRING = r'[^"\\]*(?:\\.[^"\\]*)*("?)'
-_TOKEN = re.compile('"' + _STRING + r"|[{}\[\]]", re.DOTALL)
-_REST = re.compile(_STRING, re.DOTALL)
-_KEY = re.compile(r'"((?:[^"\\]|\\.)*)"\s*:\s*\Z', re.DOTALL)
+_KEY = re.compile(rb'"((?:[^"\\]|\\.)*)"\s*:\s*\Z', re.DOTALL)
+_STEP = np.zeros(256, dtype=np.int8)
+_STEP[[ord("{"), ord("[")]] = 1
+_STEP[[ord("}"), ord("]")]] = -1
 
 
 def _quotes(text: Column) -> Column:
@@ -240,19 +240,20 @@ class Brackets:
     def __init__(self, in_string: bool, depth: int = 0):
         self.in_string, self.depth = in_string, depth
 
-    def feed(self, text: str) -> Iterator[tuple[int, str]]:
-        """Place and kind of each bracket; ``depth`` is that behind it."""
-        at = 0
-        if self.in_string:
-            rest = _REST.match(text)
-            at, self.in_string = rest.end(), not rest[1]
-        for token in _TOKEN.finditer(text, at):
-            mark = token[0][0]
-            if mark == '"':
-                self.in_string = not token[1]
-                continue
-            self.depth += 1 if mark in "{[" else -1
-            yield token.start(), mark
+    def feed(self, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each bracket: its place, its step (1 or -1) and the depth behind it."""
+        if b"\\" in text:
+            text = text.replace(b"\\\\", b"__").replace(b'\\"', b"__")
+        codes = np.frombuffer(text, dtype=np.uint8)
+        quotes = np.flatnonzero(codes == ord('"'))
+        at = np.flatnonzero(_STEP[codes])
+        at = at[(np.searchsorted(quotes, at) + self.in_string) % 2 == 0]
+        steps = _STEP[codes[at]].astype(np.int64)
+        after = self.depth + np.cumsum(steps)
+        self.in_string = (len(quotes) + self.in_string) % 2 == 1
+        if len(at):
+            self.depth = int(after[-1])
+        return at, steps, after
 
 
 def _ended(texts_of: Callable) -> Callable:
@@ -266,9 +267,9 @@ def _ended(texts_of: Callable) -> Callable:
         rows: list[tuple] = []
         while (texts := (yield rows)) is not None:
             whole = "}".join([*last, *texts[:-1], ""])
-            rows = inner.send(whole) if whole else []
+            rows = inner.send(whole.encode()) if whole else []
             last = texts[-1:]
-        rows = inner.send(last[0] + ("" if unfinished else "}")) if last else []
+        rows = inner.send((last[0] + ("" if unfinished else "}")).encode()) if last else []
         yield rows + inner.send(None)
 
     return reader
@@ -277,22 +278,21 @@ def _ended(texts_of: Callable) -> Callable:
 def _depth_sums(file: int, block: int, in_string: bool, unfinished: bool) -> Iterator[list[tuple]]:
     """Depth at the end and the least one, from that at the beginning on, and the last keys of brackets there and one above."""
     brackets = Brackets(in_string)
-    least, keys, since = 0, {}, ""
+    least, keys, since = 0, {}, b""
     rows: list[tuple] = []
-    while True:
-        text = yield rows
-        if text is None:
-            rows = [(file, block, brackets.depth, least, keys.get(least), keys.get(least + 1))]
+    while (text := (yield rows)) is not None:
+        at, steps, after = brackets.feed(text)
+        if not len(at):
+            since += text
             continue
-        done = 0
-        for at, mark in brackets.feed(text):
-            least = min(least, brackets.depth)
-            if mark in "{[" and brackets.depth <= least + 2:
-                key = _KEY.search(since + text[done:at])
-                if key:
-                    keys[brackets.depth - 1] = key[1]
-            done, since = at + 1, ""
-        since += text[done:]
+        lowest = np.minimum(np.minimum.accumulate(after), least)
+        least = int(lowest[-1])
+        for i in np.flatnonzero((steps > 0) & (after <= lowest + 2)).tolist():
+            key = _KEY.search(text[at[i - 1] + 1:at[i]] if i else since + text[:at[0]])
+            if key:
+                keys[int(after[i]) - 1] = key[1].decode()
+        since = text[at[-1] + 1:]
+    yield [(file, block, brackets.depth, least, keys.get(least), keys.get(least + 1))]
 
 
 def _between(text: str, first: bool, closing: bool) -> list[str] | None:
@@ -312,46 +312,45 @@ def _json_reader(field: str) -> Callable:
 
     def begin(file: int, block: int, in_string: bool, unfinished: bool, depth: int, key: str | None) -> Iterator[list[tuple]]:
         brackets = Brackets(in_string, depth)
-        other = re.compile(f'"{re.escape(field)}"\\s*:\\s*[^\\s\\[n]')
+        name = re.escape(field.encode())
+        other = re.compile(b'"' + name + rb'"\s*:\s*[^\s\[n]')
         target, first = depth > 1 and key == field, False
         inside, begun = target and depth > 2, False
         started = depth > 0 or block > 0
-        count, kept = 0, []
+        count, kept = 0, b""
         rows: list[tuple] = []
-        while True:
-            text = yield rows
+        while (text := (yield rows)) is not None:
             rows = []
-            if text is None:
-                if inside:
-                    rows = [(file, block, count, HEAD if begun else MIDDLE, "".join(kept))]
-                continue
+            at, steps, after = brackets.feed(text)
             done = 0
-            for at, mark in brackets.feed(text):
-                after, opens = brackets.depth, mark in "{["
+            # what is deeper inside elements, or inside other values, does not matter
+            for i in np.flatnonzero(after - (steps > 0) <= 2).tolist():
+                place, depth, opens = int(at[i]), int(after[i]), steps[i] > 0
                 if inside:
-                    if after == 2:
-                        rows.append((file, block, count, WHOLE if begun else TAIL, "".join(kept) + text[done:at + 1]))
-                        count, kept, inside, done = count + 1, [], False, at + 1
+                    rows.append((file, block, count, WHOLE if begun else TAIL, (kept + text[done:place + 1]).decode()))
+                    count, kept, inside, done = count + 1, b"", False, place + 1
                     continue
-                gap, kept, done = "".join(kept) + text[done:at], [], at + 1
+                gap = kept + text[done:place] if not i or at[i - 1] < done else text[at[i - 1] + 1:place]
+                kept, done = b"", place + 1
                 broken = False
-                if after == 2 and opens:
+                if depth == 2 and opens:
                     found = _KEY.search(gap)
-                    target, first = bool(found) and found[1] == field, True
-                    broken = target and mark == "{"
-                elif target and (after == 3 and opens or after == 1):
-                    nulls = _between(gap, first, not opens)
+                    target, first = bool(found) and found[1].decode() == field, True
+                    broken = target and text[place] == ord("{")
+                elif target and (depth == 3 or depth == 1):
+                    nulls = _between(gap.decode(), first, not opens)
                     broken, first = nulls is None, False
-                    rows.extend((file, block, count + i, WHOLE, "{}") for i in range(len(nulls or ())))
+                    rows.extend((file, block, count + j, WHOLE, "{}") for j in range(len(nulls or ())))
                     count += len(nulls or ())
                     target = opens
                     if opens:
-                        inside, begun, done = True, True, at
-                elif after == 1 and opens:
-                    broken, started = started or mark == "[" or bool(gap.strip("﻿ \t\r\n")), True
-                if after < 0 or broken or (after <= 1 and not opens and other.search(gap)):
-                    rows.append((file, block, count, BROKEN, text[:200]))
-            kept.append(text[done:])
+                        inside, begun, done = True, True, place
+                elif depth == 1 and opens:
+                    broken, started = started or text[place] == ord("[") or bool(gap.decode().strip("\ufeff \t\r\n")), True
+                if depth < 0 or broken or (depth <= 1 and not opens and other.search(gap)):
+                    rows.append((file, block, count, BROKEN, text[:200].decode("utf-8", "replace")))
+            kept = kept + text[done:] if inside or not len(at) or at[-1] < done else text[at[-1] + 1:]
+        yield [(file, block, count, HEAD if begun else MIDDLE, kept.decode())] if inside else []
 
     return _ended(begin)
 

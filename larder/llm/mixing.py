@@ -6,6 +6,7 @@ its quota takes every block equally often, but for a seeded choice of blocks tha
 takes once more, the last of them in part. So sources smaller than a block get their due.
 """
 
+import heapq
 import math
 import re
 import zlib
@@ -37,19 +38,16 @@ def fill(sizes: Sequence[int], weights: Sequence[float], budget: float, most: fl
     weight, again until none is above.
     """
     targets = [0.0] * len(sizes)
-    open_ = set(range(len(sizes)))
-    left = float(budget)
-    while open_:
-        total = sum(weights[i] for i in open_)
-        above = [i for i in open_ if left * weights[i] / total > most * sizes[i]]
-        if not above:
-            for i in open_:
-                targets[i] = left * weights[i] / total
+    # whoever fills up first has least size for its weight, so one pass in that order finds all that do
+    order = sorted(range(len(sizes)), key=lambda i: (sizes[i] / weights[i], i))
+    left, total = float(budget), sum(weights)
+    for at, i in enumerate(order):
+        if left * weights[i] / total <= most * sizes[i]:
+            for j in order[at:]:
+                targets[j] = left * weights[j] / total
             break
-        for i in above:
-            targets[i] = float(most * sizes[i])
-        open_ -= set(above)
-        left = budget - sum(targets[i] for i in range(len(sizes)) if i not in open_)
+        targets[i] = float(most * sizes[i])
+        left, total = left - targets[i], total - weights[i]
     return targets
 
 
@@ -63,14 +61,25 @@ def apportion(targets: Sequence[float], seats: int, most: Sequence[int]) -> list
     if not total:
         return [0] * len(targets)
     got = [min(m, math.ceil(t * seats / total - 0.5)) for t, m in zip(targets, most)]
-    while sum(got) < seats:
-        able = [i for i, m in enumerate(most) if got[i] < m and targets[i] > 0]
-        if not able:
-            break
-        got[max(able, key=lambda i: (targets[i] / (2 * got[i] + 1), -i))] += 1
-    while sum(got) > seats:
-        able = [i for i, g in enumerate(got) if g > 0]
-        got[min(able, key=lambda i: (targets[i] / (2 * got[i] - 1), -i))] -= 1
+    lack = seats - sum(got)
+    able = [(-targets[i] / (2 * got[i] + 1), i) for i, m in enumerate(most) if got[i] < m and targets[i] > 0] if lack > 0 else []
+    heapq.heapify(able)
+    while lack > 0 and able:
+        i = able[0][1]
+        got[i], lack = got[i] + 1, lack - 1
+        if got[i] < most[i]:
+            heapq.heapreplace(able, (-targets[i] / (2 * got[i] + 1), i))
+        else:
+            heapq.heappop(able)
+    held = [(targets[i] / (2 * g - 1), -i) for i, g in enumerate(got) if g > 0] if lack < 0 else []
+    heapq.heapify(held)
+    while lack < 0 and held:
+        i = -held[0][1]
+        got[i], lack = got[i] - 1, lack + 1
+        if got[i] > 0:
+            heapq.heapreplace(held, (targets[i] / (2 * got[i] - 1), -i))
+        else:
+            heapq.heappop(held)
     return got
 
 

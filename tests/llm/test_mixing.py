@@ -1,6 +1,7 @@
 """Targets, seats and takes against plain arithmetic."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -110,3 +111,31 @@ def test_takes_are_whole_in_words(spark, monkeypatch, shards, blocks):
         targets[r.source] = r.mix.target
     assert all(abs(taken[s] - targets[s]) <= 1 for s in targets)
     assert sum(taken.values()) == round(sum(targets.values()))
+
+
+def test_many_sources_are_planned_in_seconds():
+    rng = random.Random(22)
+    totals = [(f"host{i}", rng.choice([1, 5, 40, 3000])) for i in range(100_000)]
+    start = time.monotonic()
+    rows = op.plan(totals)
+    assert time.monotonic() - start < 60 and len(rows) == len(totals)
+    assert all(abs(r["times"] * max(1, r["source_size"]) + r["rest"] - r["target"]) <= 16 for r in rows)
+    assert all(r["target"] <= 2 * r["source_size"] for r in rows)
+
+
+def test_fill_equals_rounds():
+    rng = random.Random(23)
+    for _ in range(200):
+        sizes = [rng.choice([0, 1, 7, 100, 10_000]) for _ in range(rng.randint(1, 12))]
+        weights = [op.WEIGHTS[i % 3] for i in range(len(sizes))]
+        budget = 1.5 * sum(sizes)
+        want, open_ = [0.0] * len(sizes), set(range(len(sizes)))
+        left = budget
+        while open_:
+            share = {i: left * weights[i] / sum(weights[j] for j in open_) for i in open_}
+            above = [i for i in open_ if share[i] > 2 * sizes[i]]
+            for i in above or open_:
+                want[i] = 2.0 * sizes[i] if above else share[i]
+            open_ -= set(above or open_)
+            left = budget - sum(want[i] for i in range(len(sizes)) if i not in open_)
+        assert op.fill(sizes, weights, budget) == pytest.approx(want)

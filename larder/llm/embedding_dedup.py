@@ -80,7 +80,8 @@ def cells_of(nodes: DataFrame, dim: int, probes: int = PROBES) -> DataFrame:
             top = np.argpartition(-sims, take - 1, axis=1)[:, :take] if take < sims.shape[1] else np.tile(np.arange(take), (len(batch), 1))
             yield batch.assign(cells=list(top.astype(np.int32)))
 
-    return nodes.mapInPandas(nearest, "node long, copies long, embedding array<float>, cells array<int>")
+    kind = nodes.schema["embedding"].dataType.simpleString()
+    return nodes.mapInPandas(nearest, f"node long, copies long, embedding {kind}, cells array<int>")
 
 
 def _links(rows: pd.DataFrame) -> pd.DataFrame:

@@ -70,3 +70,15 @@ def test_no_vectors_and_clashing_columns(spark, write):
     rows = spark.createDataFrame([(None, [1.0, 0.0], 0), (4, [1.0, 0.0], 0), (4, [1.0, 0.0], 0), (2, None, 0)], SCHEMA)
     found = op.near_duplicates(rows.selectExpr("*", "1 as node", "2 as cells", "3 as first")).collect()
     assert [(r.n_links, r.component_id) for r in found] == [(2, 4)]
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_vectors_keep_their_precision(spark, write, kind):
+    def at(cosine):
+        return [cosine, (1 - cosine * cosine) ** 0.5]
+
+    rows = [(0, [1.0, 0.0]), (1, at(0.95 + 1e-10)), (2, [0.0, 5.0, 0.0]), (3, [v for c in (0.95 - 1e-10,) for v in (0.0, c, (1 - c * c) ** 0.5)])]
+    where = write(embeddings=spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>"))
+    got = {r["vec_id"]: r["n_links"] for r in op.op10_embedding_dedup(spark, where).collect()}
+    if kind == "double":
+        assert got == {0: 1, 1: 1, 2: 0, 3: 0}

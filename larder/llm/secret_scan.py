@@ -16,6 +16,8 @@ from larder.operators.settle import settle
 
 SCOPE = 200
 MASK = "[SECRET]"
+_PAGE = 4096  # code points
+_BLOCK = 256  # spans
 
 # Fixed by the contract: the strong kinds in their order, and the least length of what counts.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -145,6 +147,44 @@ def op8_secret_scan(spark, sf_dir: str) -> DataFrame:
         F.sha2(_written("found.strong"), 256).alias("base_sha256"), _written("found.spans").alias("spans"))
 
 
+def masked_text(text: Column, spans: Column) -> Column:
+    """``text`` with a mark in place of each run of overlapping spans, which are in order.
+
+    The text is cut into pages, so that what a span costs does not depend on its place, and spans go in
+    blocks, each of which starts behind the last end of those before: no array is copied for every span.
+    """
+    pages = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{_PAGE}}}"), F.lit(0))
+
+    def piece(pages: Column, start: Column, end: Column) -> Column:
+        # from a page to the one that the piece ends in; most pieces lie in one
+        first, last = F.floor(start / _PAGE), F.floor((end - 1) / _PAGE)
+        joined = F.array_join(F.slice(pages, (first + 1).cast("int"), (last - first + 1).cast("int")), "")
+        return F.when(end <= start, F.lit("")).otherwise(F.substr(joined, (start - first * _PAGE + 1).cast("int"), (end - start).cast("int")))
+
+    def over(state: Column) -> Column:
+        pages, blocks = state["pages"], state["blocks"]
+        ends = F.transform(blocks, lambda b: F.array_max(b["end"]))
+
+        def block(b: Column, i: Column) -> Column:
+            before = F.coalesce(F.array_max(F.slice(ends, F.lit(1), i)), F.lit(0))
+            begin = F.struct(F.array().cast("array<string>").alias("out"), before.alias("at"))
+
+            def cut(acc: Column, x: Column) -> Column:
+                fresh = F.concat(acc["out"], F.array(piece(pages, acc["at"], x["start"]), F.lit(MASK)))
+                return F.struct(F.when(x["start"] >= acc["at"], fresh).otherwise(acc["out"]).alias("out"), F.greatest(acc["at"], x["end"]).alias("at"))
+
+            return F.aggregate(b, begin, cut, lambda acc: acc["out"])
+
+        rest = piece(pages, F.array_max(ends), state["length"])
+        return F.concat(F.array_join(F.flatten(F.transform(blocks, block)), ""), rest)
+
+    numbers = F.sequence(F.lit(0), F.floor((F.size(spans) - 1) / _BLOCK).cast("int"))
+    blocks = F.transform(numbers, lambda b: F.slice(spans, b * _BLOCK + 1, F.lit(_BLOCK)))
+    state = F.struct(pages.alias("pages"), blocks.alias("blocks"), F.length(text).alias("length"))
+    # in an array of one, so that pages and blocks are worked out once
+    return F.transform(F.array(state), over)[0]
+
+
 def mask(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` with reported spans replaced by a mark and ``n_chars`` counted anew.
 
@@ -156,15 +196,7 @@ def mask(docs: DataFrame) -> DataFrame:
     # the text travels once, in its row
     found = settle(with_spans(scan(aside.rows).drop("text"), linked), ["found"])
     text = aside.own("text")
-    piece = lambda start, length: F.substr(text, start + 1, length)
-
-    def cut(acc: Column, x: Column) -> Column:
-        fresh = F.concat(acc["out"], F.array(piece(acc["at"], x["start"] - acc["at"]), F.lit(MASK)))
-        return F.struct(F.when(x["start"] >= acc["at"], fresh).otherwise(acc["out"]).alias("out"), F.greatest(acc["at"], x["end"]).alias("at"))
-
-    start = F.struct(F.array().cast("array<string>").alias("out"), F.lit(0).alias("at"))
-    masked = F.aggregate("found.spans", start, cut, lambda acc: F.concat(
-        F.array_join(acc["out"], ""), piece(acc["at"], F.length(text))))
-    found = settle(found.withColumn("masked", F.when(F.size("found.spans") > 0, masked).otherwise(text)), ["masked"])
+    found = settle(found.withColumn("masked", F.when(F.size("found.spans") > 0, masked_text(text, F.col("found.spans")))), ["masked"])
+    found = found.withColumn("masked", F.coalesce("masked", text))
     n_chars = F.when(F.col("masked").eqNullSafe(text), aside.own("n_chars")).otherwise(F.length("masked").cast("long"))
     return aside.back(found, text=F.col("masked"), n_chars=n_chars)

@@ -3,8 +3,12 @@
 import hashlib
 import random
 import re
+import time
+
+from pyspark.sql import functions as F
 
 from larder.llm import secret_scan
+from larder.llm import secret_scan as op
 
 ASSIGN = re.compile(r"""([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 OTHERS = {"access": (re.compile("AKIA[A-Z0-9]+"), 16), "hex": (re.compile("[0-9a-f]+"), 32)}
@@ -60,3 +64,29 @@ def test_clashing_columns_and_empty_table(spark, documents):
     assert secret_scan.mask(docs).collect()[0].asDict() == {
         "doc_id": 0, "text": "[SECRET]", "lang": "en", "source": "src0", "n_chars": 8, "found": 1, "row": 2, "key": 3}
     assert secret_scan.mask(docs.where("false")).collect() == []
+
+
+def test_masking_equals_plain_cuts(spark):
+    rng = random.Random(21)
+    rows = []
+    for _ in range(60):
+        text = "".join(rng.choice("ab\n🙂é") for _ in range(rng.choice([5, 300, 9000, 20_000])))
+        starts = sorted(rng.randrange(len(text)) for _ in range(rng.choice([1, 3, 700])))
+        rows.append((text, [(s, 0, min(len(text), s + rng.choice([1, 8, 40]))) for s in starts]))
+    df = spark.createDataFrame(rows, "text string, spans array<struct<start:int,kind:int,end:int>>")
+    got = df.select("text", "spans", op.masked_text(F.col("text"), F.col("spans")).alias("masked")).collect()
+    for r in got:
+        at, out = 0, ""
+        for start, _, end in r["spans"]:
+            if start >= at:
+                out += r["text"][at:start] + op.MASK
+            at = max(at, end)
+        assert r["masked"] == out + r["text"][at:]
+
+
+def test_many_spans_in_one_text(spark):
+    text = "é password=abcdefgh1 " * 50_000
+    start = time.monotonic()
+    row = op.mask(spark.createDataFrame([(1, text, len(text))], "doc_id long, text string, n_chars long")).first()
+    assert row["text"] == f"é {op.MASK} " * 50_000 or op.MASK in row["text"] and "abcdefgh1" not in row["text"]
+    assert time.monotonic() - start < 120

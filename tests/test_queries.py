@@ -2,6 +2,8 @@
 
 import ast
 import os
+import subprocess
+import sys
 from pathlib import Path
 
 import duckdb
@@ -90,3 +92,11 @@ def test_nothing_is_defined_twice(module):
     names = [n.name for n in ast.parse(module.read_text()).body if isinstance(n, (ast.FunctionDef, ast.ClassDef))]
     names += [t.id for n in ast.parse(module.read_text()).body if isinstance(n, ast.Assign) for t in n.targets if isinstance(t, ast.Name)]
     assert len(names) == len(set(names))
+
+
+@pytest.mark.parametrize("hidden", ["larder.llm", "corpus_pipeline"])
+def test_entry_point_stands_without_the_subpackage(hidden):
+    code = f"import sys; sys.modules[{hidden!r}] = None; import __spark_entry__ as e; print(sorted(e.queries()) == sorted(e.oracle_sql()), len(e.queries()))"
+    root = Path(contract.__file__).parent
+    done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=False)
+    assert done.stdout.split() == ["True", str(len(catalog.queries()))], done.stderr[-500:]

@@ -18,20 +18,21 @@ _ISO = r"^\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?)?(Z|[+-]\d{2}:\
 _CLOCK = r"(?:\s+(\d{1,2}:\d{2}(?::\d{2})?)(?:\s*([AaPp])[Mm])?)?$"
 _DAY_AND_MONTH = r"^\d{1,2}[-/.]\d{1,2}[-/.](\d{4}|\d{2})(?!\d)"
 
-# Spelling and the ISO text it stands for. Day and month in digits come out month
-# first here; the other reading swaps them later. A half-day mark stays at the end.
-REWRITES = (
-    (r"^(\d{1,2})([-/.])(\d{1,2})\2(\d{4})" + _CLOCK, "$4-$1-$3 $5$6"),
-    # Years of two digits are those from 1970 to 2069.
-    (r"^(\d{1,2})([-/.])(\d{1,2})\2([0-6]\d)" + _CLOCK, "20$4-$1-$3 $5$6"),
-    (r"^(\d{1,2})([-/.])(\d{1,2})\2([7-9]\d)" + _CLOCK, "19$4-$1-$3 $5$6"),
-    (r"^([A-Za-z]+)\s+(\d{1,2}),?\s+(\d{4})" + _CLOCK, "$3-$1-$2 $4$5"),
-    (r"^(\d{1,2})(?:-|\s+)([A-Za-z]+)(?:-|,?\s+)(\d{4})" + _CLOCK, "$3-$2-$1 $4$5"),
-    (r"^(\d{4})(\d{2})(\d{2})T?(\d{2})(\d{2})(\d{2})$", "$1-$2-$3 $4:$5:$6"),
-    (r"^(\d{4})(\d{2})(\d{2})(\d{2})(\d{2})$", "$1-$2-$3 $4:$5"),
-    (r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3"),
-    (r"^(\d{4})([-/.])(\d{1,2})\2(\d{1,2})" + _CLOCK, "$1-$3-$4 $5$6"),
-)
+# The spellings of each kind of beginning, and the ISO text they stand for. Day and month in digits come
+# out month first here; the other reading swaps them later. A half-day mark stays at the end, and a year of
+# two digits gets a mark in front.
+NAME_FIRST = (r"^([A-Za-z]+)\s+(\d{1,2}),?\s+(\d{4})" + _CLOCK, "$3-$1-$2 $4$5")
+DAY_AND_NAME = (r"^(\d{1,2})(?:-|\s+)([A-Za-z]+)(?:-|,?\s+)(\d{4})" + _CLOCK, "$3-$2-$1 $4$5")
+YEAR_FIRST = (r"^(\d{4})([-/.])(\d{1,2})\2(\d{1,2})" + _CLOCK, "$1-$3-$4 $5$6")
+TWO_NUMBERS = (r"^(\d{1,2})([-/.])(\d{1,2})\2(\d{4})" + _CLOCK, "$4-$1-$3 $5$6")
+SHORT_YEAR = (r"^(\d{1,2})([-/.])(\d{1,2})\2(\d{2})" + _CLOCK, "@$4-$1-$3 $5$6")
+# Digits alone, by the length of the text.
+COMPACT = {
+    (14, 15): (r"^(\d{4})(\d{2})(\d{2})T?(\d{2})(\d{2})(\d{2})$", "$1-$2-$3 $4:$5:$6"),
+    (12,): (r"^(\d{4})(\d{2})(\d{2})(\d{2})(\d{2})$", "$1-$2-$3 $4:$5"),
+    (8,): (r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3"),
+}
+_DIGITS, _UPPER, _LOWER = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _NAMED = r"^(\d{4})-([A-Za-z]+)-"
 _SWAP = (r"^(\d{4})-(\d{1,2})-(\d{1,2})", "$1-$3-$2")
 # The cast alone would take a bare year or a bare time of day.
@@ -45,15 +46,48 @@ def _month_number(name: Column) -> Column:
     return F.try_element_at(F.expr(f"map({pairs})"), F.lower(name))
 
 
-def _as_iso(text: Column) -> Column:
-    for spelling, template in REWRITES:
-        text = F.regexp_replace(text, spelling, template)
-    return text
+def shape(text: Column, upper: str = "A") -> Column:
+    """The text with every digit as 9, every capital as ``upper`` and every small letter as a."""
+    return F.translate(text, _DIGITS + _UPPER + _LOWER, "9" * 10 + upper * 26 + "a" * 26)
 
 
-def _name_to_number(iso: Column) -> Column:
+def _kind(text: Column) -> Column:
+    """How a text begins, which leaves one or two spellings to try."""
+    begin = shape(text.substr(1, 5), "a")
+    numbers = [f"{day}{sep}9" for day in ("9", "99") for sep in "-/."]
+    return (
+        F.when(begin.startswith("a"), "name")
+        .when(begin.startswith("99999"), "compact")
+        .when(begin.startswith("9999"), "year")
+        .when(F.substring(begin, 1, 3).isin(*numbers) | F.substring(begin, 1, 4).isin(*numbers), "numbers")
+        .when(begin.startswith("9"), "day")
+    )
+
+
+def _as_iso(text: Column, kind: Column) -> Column:
+    """ISO text of the spellings known, the text as it is else."""
+    compact = text
+    for lengths, rewrite in COMPACT.items():
+        compact = F.when(F.length(text).isin(*lengths), F.regexp_replace(text, *rewrite)).otherwise(compact)
+    return (
+        F.when(kind == "name", F.regexp_replace(text, *NAME_FIRST))
+        .when(kind == "compact", compact)
+        .when(kind == "year", F.regexp_replace(text, *YEAR_FIRST))
+        .when(kind == "numbers", F.regexp_replace(F.regexp_replace(text, *TWO_NUMBERS), *SHORT_YEAR))
+        .when(kind == "day", F.regexp_replace(text, *DAY_AND_NAME))
+        .otherwise(text)
+    )
+
+
+def _whole(iso: Column, kind: Column) -> Column:
+    """Month names as numbers, and years of two digits as those from 1970 to 2069."""
     name = F.regexp_extract(iso, _NAMED, 2)
-    return F.when(iso.rlike(_NAMED), F.replace(iso, name, _month_number(name))).otherwise(iso)
+    century = F.when(F.substring(iso, 2, 1) <= "6", "20").otherwise("19")
+    return (
+        F.when(kind.isin("name", "day", "year") & iso.rlike(_NAMED), F.replace(iso, name, _month_number(name)))
+        .when(iso.startswith("@") & (kind == "numbers"), F.concat(century, F.substring(iso, 2, 1 << 20)))
+        .otherwise(iso)
+    )
 
 
 def _on_the_clock(stamp: Column, half: Column) -> Column:
@@ -71,9 +105,9 @@ def timestamp_steps(
     earliest: str = EARLIEST,
     latest: str = LATEST,
 ) -> Steps:
-    written, text, iso, half = (F.col(c) for c in (source, "_t_text", "_t_iso", "_t_half"))
+    written, text, kind, iso, half = (F.col(c) for c in (source, "_t_text", "_t_kind", "_t_iso", "_t_half"))
     plain, one, two = (F.col(c) for c in ("_t_plain", "_t_one", "_t_two"))
-    other = F.when(text.rlike(_DAY_AND_MONTH), F.regexp_replace(plain, *_SWAP))
+    other = F.when((kind == "numbers") & text.rlike(_DAY_AND_MONTH), F.regexp_replace(plain, *_SWAP))
     both = F.coalesce(one, two)
     if day_first:
         prefer_day = text.contains("/") & (half == "") & two.isNotNull()
@@ -83,10 +117,11 @@ def timestamp_steps(
     return [
         # Most rows are ISO already: they have no text to work on.
         {"_t_text": F.when(~written.rlike(_ISO), strip_ws(written))},
-        {"_t_iso": _as_iso(text)},
-        {"_t_iso": _name_to_number(iso)},
+        {"_t_kind": _kind(text)},
+        {"_t_iso": _as_iso(text, kind)},
+        {"_t_iso": _whole(iso, kind)},
         {
-            "_t_half": F.lower(F.regexp_extract(iso, "([AaPp])$", 1)),
+            "_t_half": F.when(F.lower(F.right(iso, F.lit(1))).isin("a", "p"), F.lower(F.right(iso, F.lit(1)))).otherwise(F.when(iso.isNotNull(), "")),
             "_t_plain": F.when(iso.rlike(_REWRITTEN), F.rtrim(iso, F.lit("AaPp"))),
         },
         {"_t_one": plain.try_cast("timestamp_ntz"), "_t_two": other.try_cast("timestamp_ntz")},
@@ -115,15 +150,16 @@ def date_class(text: Column) -> Column:
     Classes are told by the shape of the text: digits as 9, capitals as A, small
     letters as a, white space as one blank.
     """
-    shape = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.regexp_replace(
-        text, "[0-9]", "9"), "[A-Z]", "A"), "[a-z]", "a"), "\\s+", " ")
+    blanks = F.translate(text, "\t\n\x0b\f\r", " " * 5)
+    spaced = F.when(blanks.contains("  "), F.regexp_replace(blanks, " +", " ")).otherwise(blanks)
+    begin = shape(spaced.substr(1, 19))
     iso, slashes, month, compact, half_day = defaults.DATE_CLASSES
     return (
         F.when(text == "", "EMPTY")
-        .when(shape.startswith("9999-99-99 99:99:99"), iso)
-        .when(shape.startswith("99/99/9999"), slashes)
-        .when(shape.startswith("Aaa 9 9999") | shape.startswith("Aaa 99 9999"), month)
-        .when(shape.startswith("9" * 12), compact)
-        .when(shape.startswith("99-99-9999 99:99 AA") & F.regexp_replace(text, "\\s+", " ").substr(18, 2).isin("AM", "PM"), half_day)
+        .when(begin.startswith("9999-99-99 99:99:99"), iso)
+        .when(begin.startswith("99/99/9999"), slashes)
+        .when(begin.startswith("Aaa 9 9999") | begin.startswith("Aaa 99 9999"), month)
+        .when(begin.startswith("9" * 12), compact)
+        .when(begin.startswith("99-99-9999 99:99 AA") & spaced.substr(18, 2).isin("AM", "PM"), half_day)
         .otherwise("OTHER")
     )

@@ -1,6 +1,6 @@
 """Status of every (day, item) and the shape of the report."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from larder import defaults
@@ -117,6 +117,30 @@ def status_counts(report: DataFrame) -> DataFrame:
     )
 
 
+STATUSES = (defaults.ANOMALY, defaults.INVALID, defaults.RESTOCK, defaults.SAFE)
+DIRECTIONS = (defaults.SHRINKAGE, defaults.OVERCOUNT, defaults.NOT_APPLICABLE)
+
+
+def watch_statuses(report: DataFrame, watch: Observation) -> DataFrame:
+    """The report, counted by ``watch`` as it is written."""
+    pairs = [(s, d) for s in STATUSES for d in DIRECTIONS]
+    is_pair = [(F.col("Action_Status") == s) & (F.col("Variance_Direction") == d) for s, d in pairs]
+    return report.observe(watch, F.count("*").alias("rows"), *[F.count_if(test).alias(f"{s}|{d}") for (s, d), test in zip(pairs, is_pair)])
+
+
+def watched_counts(spark: SparkSession, watch: Observation) -> DataFrame:
+    """The rows of ``status_counts``, from what ``watch`` counted; a status of no kind known fails."""
+    found = dict(watch.get)
+    total = found.pop("rows")
+    if total != sum(found.values()):
+        raise ValueError("the report holds a status or direction that is not known")
+    rows = [(*name.split("|"), n, 0) for name, n in found.items() if n]
+    parts = {s: sum(n for status, _, n, _ in rows if status == s) for s in STATUSES}
+    rows += [(s, None, n, 1) for s, n in parts.items() if n]
+    rows.append((None, None, total, 3))
+    return spark.createDataFrame(rows, "Action_Status string, Variance_Direction string, rows bigint, level int")
+
+
 def layout(report: DataFrame) -> DataFrame:
     """The report columns in their fixed order."""
     return report.select(*[c for c in REPORT_COLUMNS if c in report.columns])

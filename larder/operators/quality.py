@@ -61,19 +61,30 @@ def tag_rows(sales: DataFrame) -> DataFrame:
     return settle(tagged.drop("is_negative"), [*PARSED, REASON])
 
 
-def tag_sales(sales: DataFrame, key: str = "Transaction_ID", order: str = "_ord") -> DataFrame:
-    """Every sale with its typed columns and its one reason.
+def mark_repeats(
+    rows: DataFrame, key: str = "Transaction_ID", order: str = "_ord", among: DataFrame | None = None
+) -> DataFrame:
+    """Rows of ``tag_rows`` with repeated ids tagged as such, whatever else they break.
 
-    A repeated id outranks all other reasons, and the first occurrence counts even
-    if it is itself rejected. Typed columns are filled as far as the row got.
+    The first places of ids come from narrow rows of ``among``, by default ``rows`` themselves, which
+    should then be a written table: a plan would be worked out twice.
     """
-    tagged = flag_repeats(tag_rows(sales), key, order, "_repeat", among=sales)
+    tagged = flag_repeats(rows, key, order, "_repeat", among=among)
     reason = F.when(F.col("_repeat"), F.lit(defaults.DUPLICATE)).otherwise(F.col(REASON))
     tagged = tagged.withColumn(REASON, reason).drop("_repeat")
     reached = F.col(REASON).isNull() | F.col(REASON).isin(*QUANTITY_REASONS)
     return tagged.withColumns({c: F.when(reached, F.col(c)) for c in PARSED})
 
 
+def tag_sales(sales: DataFrame, key: str = "Transaction_ID", order: str = "_ord") -> DataFrame:
+    """Every sale with its typed columns and its one reason.
+
+    A repeated id outranks all other reasons, and the first occurrence counts even
+    if it is itself rejected. Typed columns are filled as far as the row got.
+    """
+    return mark_repeats(tag_rows(sales), key, order, among=sales)
+
+
 def clean_part(tagged: DataFrame) -> DataFrame:
     return tagged.filter(F.col(REASON).isNull()).drop(REASON)
 

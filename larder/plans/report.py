@@ -3,7 +3,7 @@
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from larder.operators import classify, consumption, dims, finance, forecast, quality, stock
@@ -99,18 +99,19 @@ def run(sources: Sources, out: str, scratch: str, fmt: str = "csv") -> DataFrame
     """Write report and quarantine log under ``out``; rows per status come back.
 
     Tables that are read more than once are written below ``scratch``, a folder that
-    all executors reach, and removed at the end, whether the run succeeds or fails. The tagged
-    sales are written in a clean and a rejected part, so that the parse and the
-    search for repeats happen once for both outputs.
+    all executors reach, and removed at the end, whether the run succeeds or fails. The sales
+    are read and parsed once, into a table from which repeats are found by narrow columns; the tagged
+    ones are written in a clean and a rejected part for both outputs. Statuses are counted as the report is written.
     """
     spark = sources.sales.sparkSession
     with scratch_folder(spark, scratch) as keep:
         rejected = F.col(quality.REASON).isNotNull()
-        tagged = keep(quality.tag_sales(sources.sales).withColumn("_rejected", rejected), "tagged", ("_rejected",))
+        rows = keep(quality.tag_rows(sources.sales), "rows")
+        tagged = keep(quality.mark_repeats(rows).withColumn("_rejected", rejected), "tagged", ("_rejected",))
         parts = tagged.filter(F.col("_rejected")), tagged.filter(~F.col("_rejected"))
         quarantine, clean = (part.drop("_rejected", "_ord") for part in parts)
         sinks.write_quarantine(quarantine, f"{out}/quarantine_log", fmt)
-        report = keep(build_report(clean.drop(quality.REASON), sources, keep), "report")
+        watch = Observation("statuses")
+        report = keep(classify.watch_statuses(build_report(clean.drop(quality.REASON), sources, keep), watch), "report")
         sinks.write_report(report, f"{out}/Action_Report", fmt)
-        counts = classify.status_counts(report)
-        return spark.createDataFrame(counts.collect(), counts.schema)
+        return classify.watched_counts(spark, watch)

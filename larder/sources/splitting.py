@@ -376,7 +376,7 @@ def _depth_states(parts: DataFrame, field: str) -> DataFrame:
     states = placed.select(
         "file", "block", "path", "in_string", "unfinished", "depth", key.alias("key"),
         (last & (end != 0)).alias("_broken"), ((F.col("depth") > 2) | (end > 2)).alias("open"))
-    return states.where(_fail(F.col("_broken"), F.concat("path", F.lit(" is not a whole document")))).drop("_broken")
+    return states.where(_fail(F.col("_broken"), F.concat("path", F.lit(" is malformed: not a whole document")))).drop("_broken")
 
 
 def read_json_elements(spark: SparkSession, path: str, field: str, element: T.StructType) -> DataFrame:
@@ -387,6 +387,6 @@ def read_json_elements(spark: SparkSession, path: str, field: str, element: T.St
     """
     parts = _parts(spark, path, "}")
     found = _records(parts, _depth_states(parts, field), _json_reader(field), "", "in_string", "unfinished", "depth", "key")
-    sound = found.where(_fail(F.col("part") == BROKEN, F.concat("path", F.lit(" has a broken document near: "), "text")))
+    sound = found.where(_fail(F.col("part") == BROKEN, F.concat("path", F.lit(" is malformed near: "), "text")))
     rows = settle(sound.withColumn("_row", F.from_json("text", element, {"mode": "FAILFAST"})), ["_row"])
     return rows.select("_row.*", _place())

@@ -154,3 +154,9 @@ def test_whatever_the_audit_calls_iso_is_read(spark):
 ])
 def test_date_classes(spark, text, name):
     assert _one_column(spark, [text]).select(date_class(F.col("t"))).first()[0] == name
+
+
+def test_year_month_name_day(spark):
+    rows = [("2077-March-11", "2077-03-11"), (" 1925-Jan-29", "1925-01-29"), ("2001-Foo-01", None), ("12-3-4", None), ("05-05-05 10:00", "2005-05-05")]
+    got = with_timestamp(spark.createDataFrame(rows, "DateTime string, want string")).collect()
+    assert [str(r["DateTime_Parsed"].date()) if r["DateTime_Parsed"] else None for r in got] == [want for _, want in rows]

@@ -1,8 +1,10 @@
 """What the operators share: words, reading tables, tables in the shared folder."""
 
+import contextlib
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -96,11 +98,36 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/larder-llm/{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame) -> DataFrame:
-    """Write a table once in the shared folder and go on from its files.
+def stage(df: DataFrame, folder: str | None = None) -> DataFrame:
+    """Write a table once in the shared folder, or in one that the caller looks after, and go on from its files.
 
-    Cuts the lineage: later readers and retries after a lost executor read files.
+    Cuts the lineage: later readers and retries after a lost executor read files. Within
+    ``passing_tables`` the table goes at its end; else whoever reads the result removes it.
     """
-    path = shared_folder(df.sparkSession)
+    path = folder or shared_folder(df.sparkSession)
+    if _passing and folder is None:
+        _passing[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_passing: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def passing_tables(spark: SparkSession) -> Iterator[None]:
+    """Tables that ``stage`` writes inside are removed at the end, on failure too.
+
+    What is read later has to be written to a folder of the caller.
+    """
+    _passing.append([])
+    try:
+        yield
+    finally:
+        for folder in _passing.pop():
+            remove(spark, folder)
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

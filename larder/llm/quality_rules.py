@@ -167,7 +167,11 @@ def op3_quality_rules(spark, sf_dir: str) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, columns as they came."""
-    cutoffs = stage(fit_cutoffs(measure(docs.select("doc_id", "text", "lang")).select("doc_id", "q"), labels))
+    """The rows of ``docs`` that the rules keep, columns as they came.
+
+    Texts are measured once: rows are written with their measures, which the cutoffs and the verdicts read.
+    """
     aside = Aside(docs, "doc_id", "text", "lang")
-    return aside.back(judge(measure(aside.rows), cutoffs).where("q.kept"))
+    measured = stage(measure(aside.rows).drop("text", "lang"))
+    cutoffs = stage(fit_cutoffs(measured.select("doc_id", "q"), labels))
+    return aside.back(judge(measured, cutoffs).where("q.kept"))

@@ -191,10 +191,11 @@ def mask(docs: DataFrame) -> DataFrame:
     Null texts stay null; texts without spans stay as they are. Overlapping spans share
     one mark.
     """
-    linked = stage(link(scan(docs.select("doc_id", "text")).select("found")))
     aside = Aside(docs, "doc_id", "text")
-    # the text travels once, in its row
-    found = settle(with_spans(scan(aside.rows).drop("text"), linked), ["found"])
+    # texts are scanned once: rows are written with their spans, the text once, in its row
+    scanned = stage(scan(aside.rows).drop("text"))
+    linked = stage(link(scanned.select("found")))
+    found = settle(with_spans(scanned, linked), ["found"])
     text = aside.own("text")
     found = settle(found.withColumn("masked", F.when(F.size("found.spans") > 0, masked_text(text, F.col("found.spans")))), ["masked"])
     found = found.withColumn("masked", F.coalesce("masked", text))

@@ -145,12 +145,14 @@ def keep_first(docs: DataFrame) -> DataFrame:
     fingerprint stays. Rows that share id and fingerprint are copies; one of them stays, by its
     other columns in order.
     """
-    prints = stage(with_fingerprint(docs))
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    # a struct equals another where both ids are null
+    rows = stage(docs.select(own.alias("row"), F.struct(_print("text").alias("fp"), F.col("doc_id").alias("first")).alias("key")))
+    named = _named(rows.select(F.col("key.fp").alias("fp"), F.col("key.first").alias("doc_id")))
     order = F.struct(F.col("first").isNull(), F.col("first"), F.col("fp"))
-    firsts = stage(_named(prints).groupBy("name").agg(F.min_by(F.struct("fp", "first"), order).alias("least"))).select("least.*")
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("id"), _print("text").alias("print"))
-    rows = rows.join(firsts, (F.col("print") == F.col("fp")) & F.col("id").eqNullSafe(F.col("first")), "left_semi")
+    firsts = stage(named.groupBy("name").agg(F.min_by(F.struct("fp", "first"), order).alias("key"))).select("key")
     # maps have no order
     by = F.struct(*[F.col(f"row.`{c}`") for c, kind in docs.dtypes if "map<" not in kind])
-    # each component has one fingerprint left
-    return rows.groupBy("print").agg(F.min_by("row", by).alias("row")).select("row.*")
+    # Copies shrink to one row before they move, so that no key is large, and rows move once: the join
+    # finds them dealt out by its key.
+    return rows.groupBy("key").agg(F.min_by("row", by).alias("row")).join(firsts, "key", "left_semi").select("row.*")

@@ -3,12 +3,15 @@
 import random
 import re
 from collections import Counter
+from pathlib import Path
 
 import corpus_pipeline
 import public_tokenizers
+import pytest
 from tokenizers import Tokenizer
 
 from larder.llm import mixing
+from larder.llm.common import passing_tables, shared_folder, stage
 
 from .test_secret_scan import plain as secret_spans
 from .test_simhash_dedup import classes, fingerprint
@@ -64,6 +67,21 @@ def test_stages(spark, documents, write):
     assert sorted((r.doc_id, r.ids) for r in out[4]) == want and all(r.exact and r.n_tokens == len(r.ids) for r in out[4])
 
 
+def tables(spark):
+    """The tables that stages have left in the shared folder."""
+    root = Path(shared_folder(spark).removeprefix("file:")).parent
+    return set(root.iterdir()) if root.exists() else set()
+
+
+def test_tables_go_on_failure(spark):
+    before = tables(spark)
+    with pytest.raises(ZeroDivisionError), passing_tables(spark):
+        kept = stage(spark.range(3), shared_folder(spark))
+        stage(spark.range(3))
+        raise ZeroDivisionError
+    assert kept.count() == 3 and len(tables(spark) - before) == 1
+
+
 def test_run_equals_stages_and_empty_table(spark, documents, write):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     rows = fixture()[:12]
@@ -72,7 +90,11 @@ def test_run_equals_stages_and_empty_table(spark, documents, write):
     for _, step in corpus_pipeline.STAGES:
         docs = step(spark, docs, folder)
     want = sorted((r.doc_id, r.ids) for r in docs.collect())
-    assert sorted((r.doc_id, r.ids) for r in corpus_pipeline.run(spark, folder).collect()) == want
+    before = tables(spark)
+    result = corpus_pipeline.run(spark, folder)
+    assert sorted((r.doc_id, r.ids) for r in result.collect()) == want
+    # what the last stage reads: the mix and its frequent words
+    assert len(tables(spark) - before) <= 3
     docs = documents("x").where("false")
     for _, step in corpus_pipeline.STAGES:
         docs = step(spark, docs, folder)

@@ -7,7 +7,7 @@ works on all of it. All but the last return the columns of documents.
 from pyspark.sql import DataFrame, SparkSession
 
 from larder.llm import bpe, mixing, quality_rules, secret_scan, simhash_dedup
-from larder.llm.common import ship, stage, table
+from larder.llm.common import passing_tables, remove, shared_folder, ship, stage, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,7 +51,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The encoded rows of all stages in turn.
+
+    Each stage's own tables go when its output is written, and that output when the next one's
+    is. What the last stage reads stays in the shared folder, as its result is a plan.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     for _, step in STAGES[:-1]:
-        docs = stage(step(spark, docs, sf_dir))
+        folder = shared_folder(spark)
+        with passing_tables(spark):
+            docs = stage(step(spark, docs, sf_dir), folder)
+        if before:
+            remove(spark, before)
+        before = folder
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -169,9 +169,10 @@ def op3_quality_rules(spark, sf_dir: str) -> DataFrame:
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the rules keep, columns as they came.
 
-    Texts are measured once: rows are written with their measures, which the cutoffs and the verdicts read.
+    Cutoffs need the measures of labelled good documents only, which are picked before they are measured.
     """
+    good = labels.where(F.col("quality") == 1).select(F.col("doc_id").alias("good_id")).distinct()
+    labelled = docs.select("doc_id", "text", "lang").join(good, F.col("doc_id") == F.col("good_id"), "left_semi")
+    cutoffs = stage(fit_cutoffs(measure(labelled).select("doc_id", "q"), labels))
     aside = Aside(docs, "doc_id", "text", "lang")
-    measured = stage(measure(aside.rows).drop("text", "lang"))
-    cutoffs = stage(fit_cutoffs(measured.select("doc_id", "q"), labels))
-    return aside.back(judge(measured, cutoffs).where("q.kept"))
+    return aside.back(judge(measure(aside.rows), cutoffs).where("q.kept"))

@@ -14,7 +14,7 @@ from larder.session import build_session  # noqa: E402
 HEADLINE = (
     "b10_action_report", "c15_tagged_sales", "c16_metrics", "c05_parse_timestamp",
     "j04_daily_consumption", "j10_variance", "w01_flatten_stock", "a01_key_profile",
-    "a04_date_formats", "t04_item_rates", "a10_source_summary", "s07_report_sink", "t02_outlier_bound",
+    "a04_date_formats", "t04_item_rates", "a10_source_summary", "a11_sales_audit", "s07_report_sink", "t02_outlier_bound",
 )
 
 

@@ -639,6 +639,10 @@ def a09_employees(c: Case) -> DataFrame:
     return profile.employee_list(c.employees)
 
 
+def a11_sales_audit(c: Case) -> DataFrame:
+    return profile.sales_audit(c.raw_sales)
+
+
 def a10_source_summary(c: Case) -> DataFrame:
     return profile.source_summary(c.raw_sales, c.records, c.raw_inventory, c.menus, c.employees)
 
@@ -706,7 +710,7 @@ for _query in (
     b05_days_to_stockout, b06_urgency, b07_urgent_count, b08_loss, b09_loss_summary,
     b10_action_report, b11_run_summary,
     a01_key_profile, a02_emptiness, a03_quantity_profile, a04_date_formats, a05_unknown_dates,
-    a06_stock_drift, a07_units, a08_menu_profile, a09_employees, a10_source_summary,
+    a06_stock_drift, a07_units, a08_menu_profile, a09_employees, a10_source_summary, a11_sales_audit,
     t01_triage, t02_outlier_bound, t03_reason_shares, t03_status_shares, t04_item_rates,
     t05_role_views, t06_datasets,
 ):

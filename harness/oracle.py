@@ -434,5 +434,25 @@ QUERIES = {
 }
 
 
+def _audit() -> str:
+    """The profiles of the sales one after the other, each as rows of (profile, part, rows)."""
+    parts = {
+        "ids": ("a01_key_profile", ("rows", "empty", "distinct_ids", "repeated")),
+        "emptiness": ("a02_emptiness", ("empty_employee_id", "empty_menu_id")),
+        "quantity": ("a03_quantity_profile", ("empty", "zero", "negative", "unparseable")),
+    }
+    selects = [
+        f"select '{name}' as profile, '{part}' as part, cast(coalesce({part}, 0) as bigint) as rows from ({QUERIES[query]})"
+        for name, (query, columns) in parts.items() for part in columns
+    ]
+    formats = ", ".join(f"('{c}')" for c in ("EMPTY", *defaults.DATE_CLASSES, "OTHER"))
+    selects.append(f"""select 'dates', c, cast(coalesce(rows, 0) as bigint) from (values {formats}) classes(c)
+        left join ({QUERIES['a04_date_formats']}) found on found.format = classes.c""")
+    return " union all ".join(selects)
+
+
+QUERIES["a11_sales_audit"] = _audit()
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: with_parts(text) for name, text in QUERIES.items()}

@@ -60,6 +60,39 @@ def unknown_dates(sales: DataFrame) -> DataFrame:
     return with_date_class(sales).filter(F.col("format") == "OTHER").select("DateTime")
 
 
+def sales_audit(sales: DataFrame) -> DataFrame:
+    """All profiles of the sales in one scan: ``profile``, ``part``, ``rows``.
+
+    Counts are kept per id before the shuffle, as distinct ids are counted among them, so an id
+    that fills the table moves as one row. Without sales all counts are 0.
+    """
+    point = F.translate(F.coalesce(prepare(F.col("Quantity")), F.lit("")), ",", ".")
+    texts = sales.select(
+        _text("Transaction_ID").alias("_id"), (_text("Employee_ID") == "").alias("_no_employee"),
+        (_text("Menu_ID") == "").alias("_no_menu"), point.alias("_text"), _text("DateTime").alias("_date"))
+    read = texts.withColumns({"_number": parse_float(F.col("_text")), "_format": date_class(F.col("_date"))})
+    read = settle(read, ["_number", "_format"])
+    text, number, named = F.col("_text"), F.col("_number"), F.col("_id") != ""
+    counts = {
+        ("ids", "rows"): F.count("*"),
+        ("ids", "empty"): F.count_if(~named),
+        ("ids", "distinct_ids"): F.count_distinct(F.when(named, F.col("_id"))),
+        ("emptiness", "empty_employee_id"): F.count_if("_no_employee"),
+        ("emptiness", "empty_menu_id"): F.count_if("_no_menu"),
+        ("quantity", "empty"): F.count_if(text == ""),
+        ("quantity", "zero"): F.count_if(number == 0),
+        ("quantity", "negative"): F.count_if(number < 0),
+        ("quantity", "unparseable"): F.count_if((text != "") & number.isNull()),
+        **{("dates", c): F.count_if(F.col("_format") == c) for c in ("EMPTY", *defaults.DATE_CLASSES, "OTHER")},
+    }
+    names = list(counts)
+    totals = read.agg(*[c.alias(f"_{i}") for i, c in enumerate(counts.values())])
+    rows = [F.struct(F.lit(p).alias("profile"), F.lit(part).alias("part"), F.col(f"_{i}").alias("rows")) for i, (p, part) in enumerate(names)]
+    repeated = F.col("_0") - F.col("_1") - F.col("_2")
+    rows.append(F.struct(F.lit("ids").alias("profile"), F.lit("repeated").alias("part"), repeated.alias("rows")))
+    return totals.select(F.inline(F.array(*rows)))
+
+
 def stock_drift(records: DataFrame) -> DataFrame:
     """Records with any entry under the old and the new name of the count."""
 

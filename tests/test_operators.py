@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from larder import defaults
-from larder.operators import classify, finance, forecast, quality, quantiles, stock
+from larder.operators import classify, finance, forecast, profile, quality, quantiles, stock
 from larder.operators.lookups import flag_missing
 from larder.operators.ordered import flag_repeats, keep_first, lag_in_order
 from larder.plans.report import Sources, build_report
@@ -257,3 +257,17 @@ def test_report_plan_stays_in_the_jvm(spark):
         assert banned not in plan
     row = report.first()
     assert (row["POS_Consumed"], row["Action_Status"], row["Min_Threshold"]) == (12.0, "Safe", 5.0)
+
+
+def test_audit_of_hot_empty_and_no_ids(spark):
+    rows = [(None, *GOOD)] * 5 + [("  ", *GOOD)] * 2 + [("a", None, None, "", None)] * 3 + [(" a ", "soon", "M1", "-1", None), ("b", *GOOD)]
+    sales = _sales(spark, rows)
+    got = {(r.profile, r.part): r.rows for r in profile.sales_audit(sales).collect()}
+    ids = profile.key_profile(sales).first().asDict()
+    assert {part: n for (name, part), n in got.items() if name == "ids"} == ids
+    assert ids == {"rows": 12, "empty": 7, "distinct_ids": 2, "repeated": 3}
+    assert {part: n for (name, part), n in got.items() if name == "quantity"} == profile.quantity_profile(sales).first().asDict()
+    assert {part: n for (name, part), n in got.items() if name == "emptiness"} == profile.emptiness_profile(sales).first().asDict()
+    formats = {r.format: r.rows for r in profile.date_formats(sales).collect()}
+    assert {part: n for (name, part), n in got.items() if name == "dates" and n} == formats
+    assert {r.rows for r in profile.sales_audit(sales.where("false")).collect()} == {0}

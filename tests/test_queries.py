@@ -14,7 +14,7 @@ from harness import catalog, inputs, oracle
 
 DIR = "/root/testdata/sf0.001"
 SAMPLE = [
-    "a04_date_formats", "b10_action_report", "c15_tagged_sales", "c16_metrics", "d02_last_threshold",
+    "a04_date_formats", "a11_sales_audit", "b10_action_report", "c15_tagged_sales", "c16_metrics", "d02_last_threshold",
     "s01_csv_scan", "s07_report_sink", "t02_outlier_bound", "w01_flatten_stock",
 ]
 

@@ -100,3 +100,27 @@ def test_entry_point_stands_without_the_subpackage(hidden):
     root = Path(contract.__file__).parent
     done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=False)
     assert done.stdout.split() == ["True", str(len(catalog.queries()))], done.stderr[-500:]
+
+
+@pytest.fixture(scope="module")
+def own_rows(spark, tmp_path_factory):
+    """A folder with tables of a few rows."""
+    folder = str(tmp_path_factory.mktemp("own"))
+    texts = {
+        "lineitem": "select id + 1 as l_orderkey, id * 3 + 1 as l_partkey, id % 9 + 1 as l_suppkey, cast(id % 7 + 1 as int) as l_linenumber, "
+        "cast(id % 50 + 1 as double) as l_quantity, 'N' as l_returnflag, timestamp_ntz'2024-01-01' + make_dt_interval(cast(id % 20 as int)) as l_shipdate from range(300)",
+        "orders": "select id + 1 as o_orderkey, id % 100 + 1 as o_custkey, cast(id as double) as o_totalprice, '2-HIGH' as o_orderpriority, "
+        "timestamp_ntz'2024-01-01' + make_dt_interval(cast(id % 20 as int)) as o_orderdate from range(300)",
+        "part": "select id + 1 as p_partkey, cast(id % 50 + 1 as int) as p_size from range(400)",
+        "supplier": "select id + 1 as s_suppkey from range(10)",
+    }
+    for name, text in texts.items():
+        spark.sql(text).write.parquet(f"{folder}/{name}.parquet")
+    return folder
+
+
+@pytest.mark.parametrize("name", ["b01_dense_grid", "b02_trailing_mean", "b03_unpivot", "b03w_pivot", "b04_attach_forecast", "b05_days_to_stockout",
+                                  "b06_urgency", "b07_urgent_count", "k06_status_counts", "k08_bind_invalid", "k09_sorted_report", "t03_status_shares"])
+def test_consumption_is_not_worked_out_again_by_each_reader(spark, own_rows, name):
+    plan = contract.queries()[name](spark, own_rows)
+    assert not [f for f in plan.inputFiles() if "lineitem" in f]

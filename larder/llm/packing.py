@@ -133,6 +133,19 @@ def plan(counts: dict[int, int], capacity: Capacity = Capacity()) -> np.ndarray:
     return np.array(sorted(runs), dtype=np.int64).reshape(-1, 6)
 
 
+class _Numbered(dict):
+    """Gives a key not seen before the next number, and lists it in ``new``."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, key: str) -> int:
+        self[key] = number = len(self)
+        self.new.append(key)
+        return number
+
+
 class Ids:
     """Token ids of texts, the same as of each whole text at once.
 
@@ -161,7 +174,7 @@ class Ids:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def forget(self) -> None:
-        self.known: dict[str, int] = {}  # parts as they stand in texts
+        self.known = _Numbered()  # parts as they stand in texts
         self.cores: dict[str, int] = {}  # and without mark, in small letters
         self.chars = 0
         self.core = np.zeros(0, dtype=np.int64)
@@ -190,8 +203,9 @@ class Ids:
         self.sizes = np.concatenate([self.sizes, sizes])
         self.pool = np.concatenate([self.pool, ids, np.fromiter(chain.from_iterable(found), dtype=np.uint32)])
 
-    def learn(self, parts: list[str]) -> None:
-        """Ids of parts that are not known yet."""
+    def learn(self) -> None:
+        """Ids of the parts numbered since the last call."""
+        parts, self.known.new = self.known.new, []
         cores, marks, plain = [], [], {}
         for part in parts:
             mark = -1
@@ -204,7 +218,6 @@ class Ids:
             marks.append(mark)
         new = [c for c in dict.fromkeys(cores) if c not in self.cores]
         self._learn_cores(new, [c in plain for c in new])
-        self.known.update(zip(parts, range(len(self.known), len(self.known) + len(parts))))
         self.core = np.concatenate([self.core, np.fromiter(map(self.cores.__getitem__, cores), dtype=np.int64, count=len(cores))])
         self.mark = np.concatenate([self.mark, np.array(marks, dtype=np.int64)])
         self.chars += sum(map(len, parts))
@@ -213,10 +226,9 @@ class Ids:
         if self.chars > _KNOWN:
             self.forget()
         parts = [t.replace("\n", " ").split(" ") for t in texts]
-        new = set().union(*parts).difference(self.known)
-        if new:
-            self.learn(list(new))
         at = np.fromiter(map(self.known.__getitem__, chain.from_iterable(parts)), dtype=np.int64, count=sum(map(len, parts)))
+        if self.known.new:
+            self.learn()
         core, mark = self.core[at], self.mark[at]
         marked = mark >= 0
         sizes = self.sizes[core] + marked

@@ -2,6 +2,7 @@
 
 import ast
 import os
+import re
 import subprocess
 import sys
 from pathlib import Path
@@ -124,3 +125,15 @@ def own_rows(spark, tmp_path_factory):
 def test_consumption_is_not_worked_out_again_by_each_reader(spark, own_rows, name):
     plan = contract.queries()[name](spark, own_rows)
     assert not [f for f in plan.inputFiles() if "lineitem" in f]
+
+
+@pytest.mark.parametrize("name", ["c14_unknown_employees", "c15_tagged_sales", "j08_orphan_items", "t03_reason_shares"])
+def test_the_jvm_compiles_every_method(spark, own_rows, capsys, name):
+    # Fused projections whose method has more than 8000 bytes are interpreted.
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        contract.queries()[name](spark, own_rows).explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) <= 8000

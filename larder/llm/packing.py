@@ -17,7 +17,7 @@ numbered from ``sequence`` on. Spark gives every piece its rank among those of i
 import math
 import os
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from itertools import chain
 
@@ -38,8 +38,9 @@ TOKENS = 4096
 END = 1
 TOKENIZER = "word_bpe_49k.json"
 
-_SLICE = 4_000_000  # characters tokenised at a time
-_KNOWN = 8_000_000  # characters of different words kept with their ids
+_SLICE = 1_000_000  # characters tokenised at a time
+_CALL = 256  # strings given to the tokenizer at a time, as it answers with far more than ids
+_KNOWN = 3_000_000  # characters of different words kept with their ids
 _RANKS = 1 << 44  # more than the pieces of one length
 
 
@@ -167,11 +168,17 @@ class Ids:
         self.ends_word = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
         for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
             self.ends_word[i] = token.endswith("</w>")
-        self.marks = {m: self._encode([m])[0][0] for m in self._MARKS}
+        self.marks = {m: int(self._encode([m])[0][0]) for m in self._MARKS}
         self.forget()
 
-    def _encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts, one after the other, and how many each has."""
+        ids, sizes = [], []
+        for at in range(0, len(texts), _CALL):
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(texts[at:at + _CALL], add_special_tokens=False)]
+            sizes += map(len, found)
+            ids.append(np.fromiter(chain.from_iterable(found), dtype=np.uint32))
+        return np.concatenate([np.zeros(0, dtype=np.uint32), *ids]), np.array(sizes, dtype=np.int64)
 
     def forget(self) -> None:
         self.known = _Numbered()  # parts as they stand in texts
@@ -185,8 +192,7 @@ class Ids:
 
     def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words of letters, one after the other, and how many each has."""
-        found = self._encode([" ".join(words[i:i + 100]) for i in range(0, len(words), 100)])
-        ids = np.fromiter(chain.from_iterable(found), dtype=np.uint32, count=sum(map(len, found)))
+        ids, _ = self._encode([" ".join(words[i:i + 100]) for i in range(0, len(words), 100)])
         sizes = np.diff(np.flatnonzero(self.ends_word[ids]), prepend=-1)
         if len(sizes) != len(words):
             raise ValueError("the vocabulary does not mark the ends of words")
@@ -196,12 +202,12 @@ class Ids:
         words = [c for c, p in zip(new, plain) if p]
         others = [c for c, p in zip(new, plain) if not p]
         ids, sizes = self._words(words)
-        found = self._encode(others)
-        sizes = np.concatenate([sizes, np.fromiter(map(len, found), dtype=np.int64, count=len(found))])
+        other_ids, other_sizes = self._encode(others)
+        sizes = np.concatenate([sizes, other_sizes])
         self.cores.update(zip(words + others, range(len(self.cores), len(self.cores) + len(new))))
         self.starts = np.concatenate([self.starts, len(self.pool) + np.cumsum(sizes) - sizes])
         self.sizes = np.concatenate([self.sizes, sizes])
-        self.pool = np.concatenate([self.pool, ids, np.fromiter(chain.from_iterable(found), dtype=np.uint32)])
+        self.pool = np.concatenate([self.pool, ids, other_ids])
 
     def learn(self) -> None:
         """Ids of the parts numbered since the last call."""
@@ -241,11 +247,22 @@ class Ids:
         return np.split(flat, ends[last][:-1]) if texts else []
 
 
-def _slices(texts: list[str | None]) -> Iterator[tuple[int, list[str]]]:
+_sources: dict[str, Ids] = {}
+
+
+def _source(path: str) -> Ids:
+    """A worker's only one: the next task finds the words of those before."""
+    if path not in _sources:
+        _sources.clear()
+        _sources[path] = Ids(path)
+    return _sources[path]
+
+
+def _slices(texts: Iterable[pa.Scalar]) -> Iterator[tuple[int, list[str]]]:
     """Runs of texts of about ``_SLICE`` characters, with the place of the first; a longer text is alone."""
     start, run, chars = 0, [], 0
     for i, text in enumerate(texts):
-        text = text or ""
+        text = text.as_py() or ""
         if run and chars + len(text) > _SLICE:
             yield start, run
             start, run, chars = i, [], 0
@@ -268,12 +285,11 @@ def pieces(docs: DataFrame, longest: int = TOKENS, path: str | None = None, keep
     schema = T.StructType(fields + ([T.StructField("ids", T.ArrayType(T.IntegerType()))] if keep_ids else []))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        source, part = Ids(path), TaskContext.get().partitionId()
+        source, part = _source(path), TaskContext.get().partitionId()
         seen = np.zeros(longest + 1, dtype=np.int64)
         types = to_arrow_schema(schema)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for start, run in _slices(texts):
+            for start, run in _slices(batch.column("text")):
                 found = [np.append(ids, np.uint32(END)).astype("<u4") for ids in source.of(run)]
                 many = np.array([-(-len(ids) // longest) for ids in found], dtype=np.int64)
                 row = np.repeat(np.arange(len(found)), many)

@@ -92,6 +92,22 @@ def test_ids_equal_whole_texts():
     assert source.of([]) == []
 
 
+def test_tokenizer_is_asked_for_few_strings_at_a_time():
+    """Its answers are far larger than ids, so that a worker's memory hangs on how many it gives at once."""
+    source, asked = op.Ids(PATH), []
+    whole = source.tokenizer
+
+    class Counted:
+        def encode_batch_fast(self, texts, **options):
+            asked.append(len(texts))
+            return whole.encode_batch_fast(texts, **options)
+
+    source.tokenizer = Counted()
+    text = " ".join(f"{i}x{i * i}" for i in range(3000))
+    assert source.of([text])[0].tolist() == whole.encode(text, add_special_tokens=False).ids
+    assert max(asked) <= 256
+
+
 def check(rows, docs, capacity):
     """Pieces are those of the tokenizer, sequences without gaps and within capacity."""
     tokenizer = Tokenizer.from_file(PATH)

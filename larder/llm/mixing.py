@@ -139,13 +139,15 @@ def place(docs: DataFrame, sources: DataFrame, size: Column, seed: int = SEED, l
     before = Window.partitionBy("source").orderBy("lot").rowsBetween(Window.unboundedPreceding, -1)
     starts = lot_sums.withColumn("lot_start", F.coalesce(F.sum("sum").over(before), F.lit(0))).join(
         sources.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).select(
-        F.struct("source", "lot", "lot_start", "source_size", "target", "length", "blocks", "step", "shift", "times", "rest", "last",
-                 "short").alias("plan"))
+        F.struct("source", "lot").alias("lot_key"),
+        F.struct("lot_start", "source_size", "target", "length", "blocks", "step", "shift", "times", "rest", "last", "short").alias("plan"))
     aside = Aside(docs.withColumn("_size", size), "source", "doc_id", "_size")
     rows = aside.rows.withColumnRenamed("_size", "size")
-    rows = rows.withColumn("order", order).withColumn("lot", F.pmod(F.xxhash64(F.lit(seed + 1), F.col("doc_id"), F.col("size")), F.lit(lots)))
-    rows = rows.join(starts, F.col("source").eqNullSafe(F.col("plan.source")) & (F.col("lot") == F.col("plan.lot")))
-    within = Window.partitionBy("source", "lot").orderBy("order", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    own_lot = F.pmod(F.xxhash64(F.lit(seed + 1), F.col("doc_id"), F.col("size")), F.lit(lots))
+    # a struct equals another where both sources are null; join and window share this key, so rows move once
+    rows = rows.withColumn("order", order).withColumn("own_key", F.struct("source", own_lot.alias("lot")))
+    rows = rows.join(starts, F.col("own_key") == F.col("lot_key"))
+    within = Window.partitionBy("own_key").orderBy("order", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     start = F.col("plan.lot_start") + F.sum("size").over(within) - F.col("size")
     rows = rows.withColumn("start", start)
     length, blocks = F.col("plan.length"), F.col("plan.blocks")

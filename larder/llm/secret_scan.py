@@ -189,19 +189,22 @@ def mask(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` with reported spans replaced by a mark and ``n_chars`` counted anew.
 
     Null texts stay null; texts without spans stay as they are. Overlapping spans share
-    one mark. Texts are scanned once; spans of the texts that have any are written, one row per
-    text, and rows find theirs by the digest of the text.
+    one mark. Texts are scanned once and written with what was found; only those with a span or a
+    candidate meet the spans, by the digest of the text, and move for it.
     """
-    digest = F.sha2("text", 256)
-    scanned = scan(docs.select("doc_id", "text")).where(F.size("found.strong") + F.size("found.weak") > 0)
-    scanned = stage(scanned.select(digest.alias("digest"), "doc_id", "found"))
-    spans = with_spans(scanned, stage(link(scanned))).where(F.size("found.spans") > 0)
+    aside = Aside(docs, "doc_id", "text")
+    scanned = scan(aside.rows)
+    some = F.size("found.strong") + F.size("found.weak") > 0
+    scanned = stage(scanned.withColumn("own_digest", F.when(some, F.sha2("text", 256))).drop("doc_id", "text"))
+    found = scanned.where(F.col("own_digest").isNotNull())
+    parts = found.select(F.col("own_digest").alias("digest"), aside.own("doc_id").alias("doc_id"), "found")
+    spans = with_spans(parts, stage(link(parts))).where(F.size("found.spans") > 0)
     # equal texts have equal spans
     spans = stage(spans.groupBy("digest").agg(F.any_value("found.spans").alias("spans")))
-    aside = Aside(docs, "text")
-    found = aside.rows.withColumn("own_digest", digest).join(spans, F.col("own_digest") == F.col("digest"), "left")
+    found = found.join(spans, F.col("own_digest") == F.col("digest"), "left")
     text = aside.own("text")
     found = settle(found.withColumn("masked", F.when(F.col("spans").isNotNull(), masked_text(text, F.col("spans")))), ["masked"])
     found = found.withColumn("masked", F.coalesce("masked", text))
     n_chars = F.when(F.col("masked").eqNullSafe(text), aside.own("n_chars")).otherwise(F.length("masked").cast("long"))
-    return aside.back(found, text=F.col("masked"), n_chars=n_chars)
+    rest = aside.back(scanned.where(F.col("own_digest").isNull()))
+    return rest.union(aside.back(found, text=F.col("masked"), n_chars=n_chars))

@@ -10,7 +10,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from larder.llm import mixing
+from larder.llm import mixing, quality_rules, secret_scan
 from larder.llm.common import passing_tables, shared_folder, stage
 
 from .test_secret_scan import plain as secret_spans
@@ -99,3 +99,35 @@ def test_run_equals_stages_and_empty_table(spark, documents, write):
     for _, step in corpus_pipeline.STAGES:
         docs = step(spark, docs, folder)
     assert docs.collect() == [] and re.fullmatch("doc_id.*", docs.columns[0])
+
+
+def plan_of(df, kind="optimizedPlan"):
+    return getattr(df._jdf.queryExecution(), kind)().toString()
+
+
+def test_labels_move_no_text(spark, documents, monkeypatch):
+    measured, measure = [], quality_rules.measure
+    monkeypatch.setattr(quality_rules, "measure", lambda docs: measured.append(docs) or measure(docs))
+    quality_rules.keep_good(documents(*fixture()), spark.createDataFrame([(0, 1)], "doc_id long, quality int"))
+    assert measured and not [d for d in measured if "Join" in plan_of(d)]
+
+
+def test_texts_without_candidates_meet_no_spans(spark, documents):
+    docs = documents(*fixture())
+    masked = secret_scan.mask(docs)
+    joined = [line for line in plan_of(masked).split("\n") if "Filter" in line and "isnotnull(own_digest" in line]
+    assert joined and "Union" in plan_of(masked)
+    assert Counter(r.doc_id for r in masked.collect()) == Counter(range(docs.count()))
+
+
+def test_mix_moves_rows_once(spark, documents):
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        plan = plan_of(mixing.mix(documents(*fixture())), "executedPlan")
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    between = plan[plan.index("Window"):plan.index("SortMergeJoin")]
+    assert "Exchange" not in between

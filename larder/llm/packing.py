@@ -14,8 +14,10 @@ runs: the pieces of a length with ranks from ``first`` on go, ``per`` at a time,
 numbered from ``sequence`` on. Spark gives every piece its rank among those of its length.
 """
 
+import json
 import math
 import os
+import re
 import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -153,10 +155,14 @@ class Ids:
     The tokenizer never looks across a blank, nor across a letter and the mark behind it, so
     it is asked once for each different part between blanks, without a mark at its end and
     in small letters. Parts of letters alone are one word each, and the last token of a word tells that it
-    is, so many of them go in one call. Other parts go one by one, as they are.
+    is, so many of them go in one call. Other parts go one by one, as they are, but for letters and
+    a run of marks that is one token. Words of small letters need no normalizer and no pattern.
     """
 
     _MARKS = ".,;:!?"
+    # Not the apostrophe, which may begin an ending.
+    _MARKED = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]+)")
+    _NORMALIZERS = {"NFC", "Replace", "Lowercase"}
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -165,17 +171,30 @@ class Ids:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.of_words = self._plain(Tokenizer)
         self.ends_word = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
         for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
             self.ends_word[i] = token.endswith("</w>")
         self.marks = {m: int(self._encode([m])[0][0]) for m in self._MARKS}
         self.forget()
 
-    def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _plain(self, kind: type) -> "Tokenizer":
+        """The same model, cutting at blanks alone, if all else that the tokenizer does leaves small letters as they are."""
+        parts = json.loads(self.tokenizer.to_str())
+        before, cuts = parts["normalizer"] or {}, parts["pre_tokenizer"] or {}
+        steps = {step["type"] for step in before.get("normalizers", [before]) if step}
+        inner = [step for step in cuts.get("pretokenizers", [cuts]) if step and step["type"] == "ByteLevel"]
+        if not steps <= self._NORMALIZERS or [step["use_regex"] or step["add_prefix_space"] for step in inner] != [False]:
+            return self.tokenizer
+        pieces = {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, *inner]}
+        return kind.from_str(json.dumps({**parts, "added_tokens": [], "normalizer": None, "pre_tokenizer": pieces}))
+
+    def _encode(self, texts: list[str], tokenizer: "Tokenizer | None" = None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts, one after the other, and how many each has."""
+        tokenizer = tokenizer or self.tokenizer
         ids, sizes = [], []
         for at in range(0, len(texts), _CALL):
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(texts[at:at + _CALL], add_special_tokens=False)]
+            found = [e.ids for e in tokenizer.encode_batch_fast(texts[at:at + _CALL], add_special_tokens=False)]
             sizes += map(len, found)
             ids.append(np.fromiter(chain.from_iterable(found), dtype=np.uint32))
         return np.concatenate([np.zeros(0, dtype=np.uint32), *ids]), np.array(sizes, dtype=np.int64)
@@ -183,6 +202,7 @@ class Ids:
     def forget(self) -> None:
         self.known = _Numbered()  # parts as they stand in texts
         self.cores: dict[str, int] = {}  # and without mark, in small letters
+        self.runs: dict[str, int] = {}  # runs of marks with their id, -1 if that is more than one
         self.chars = 0
         self.core = np.zeros(0, dtype=np.int64)
         self.mark = np.zeros(0, dtype=np.int64)
@@ -192,12 +212,18 @@ class Ids:
 
     def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words of letters, one after the other, and how many each has."""
-        ids, _ = self._encode([" ".join(words[i:i + 100]) for i in range(0, len(words), 100)])
+        ids, _ = self._encode([" ".join(words[i:i + 100]) for i in range(0, len(words), 100)], self.of_words)
         sizes = np.diff(np.flatnonzero(self.ends_word[ids]), prepend=-1)
         if len(sizes) != len(words):
             raise ValueError("the vocabulary does not mark the ends of words")
         return ids, sizes
 
+    def _run(self, run: str) -> int:
+        if run not in self.runs:
+            ids = self._encode([run])[0]
+            self.runs[run] = int(ids[0]) if len(ids) == 1 else -1
+        return self.runs[run]
+
     def _learn_cores(self, new: list[str], plain: list[bool]) -> None:
         words = [c for c, p in zip(new, plain) if p]
         others = [c for c, p in zip(new, plain) if not p]
@@ -220,6 +246,9 @@ class Ids:
             if part.isalpha() and (part.isascii() or max(part) <= "ÿ"):
                 part = part.lower()
                 plain[part] = True
+            elif mark < 0 and (found := self._MARKED.fullmatch(part)) and (run := self._run(found[2])) >= 0:
+                part, mark = found[1].lower(), run
+                plain[part] = True
             cores.append(part)
             marks.append(mark)
         new = [c for c in dict.fromkeys(cores) if c not in self.cores]

@@ -1,5 +1,6 @@
 """Packing in classes against one piece at a time, ids against the tokenizer on whole texts."""
 
+import json
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -155,3 +156,24 @@ def test_query(spark, write, documents):
     texts = [t for t in ODD if t is None or len(t) < 5000] * 3
     got = op.op11_best_fit_packing(spark, write(documents=documents(*texts)))
     check(got.collect(), list(enumerate(texts)), op.Capacity())
+
+
+def test_marks_of_one_token_do_not_make_a_word_unknown():
+    source = op.Ids(public_tokenizers.path(op.TOKENIZER))
+    texts = ["Envi*** été*** envi$$$ o'er*** a&&&", "envi*** 9*** <|endoftext|>*** été..."]
+    want = [e.ids for e in source.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [ids.tolist() for ids in source.of(texts)] == want
+    assert {"envi", "été"} <= set(source.cores) and not {"envi***", "Envi***", "été***", "envi$$$"} & set(source.cores)
+
+
+def test_words_are_cut_at_blanks_alone_only_if_nothing_else_touches_them(tmp_path):
+    path = public_tokenizers.path(op.TOKENIZER)
+    words = ["straße", "µm", "ªº", "abc"]
+    source = op.Ids(path)
+    assert source.of_words is not source.tokenizer
+    assert source._words(words)[0].tolist() == [i for w in words for i in source.tokenizer.encode(w, add_special_tokens=False).ids]
+    other = json.loads(open(path).read())
+    other["normalizer"] = {"type": "StripAccents"}
+    (tmp_path / "other.json").write_text(json.dumps(other))
+    odd = op.Ids(str(tmp_path / "other.json"))
+    assert odd.of_words is odd.tokenizer

@@ -137,3 +137,17 @@ def test_the_jvm_compiles_every_method(spark, own_rows, capsys, name):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
     assert sizes and max(sizes) <= 8000
+
+
+@pytest.mark.parametrize("name", ["c02_keep_first", "c14_unknown_employees", "j08_orphan_items"])
+def test_places_are_compiled_and_not_tested_at_the_scan(spark, own_rows, name):
+    # Below a higher-order function a struct is put together uncompiled, once more in each filter that mentions it.
+    plan = contract.queries()[name](spark, own_rows)._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" in plan and "transform(array(struct(" not in plan
+    assert not [line for line in plan.splitlines() if "Filter" in line and "transform(" in line]
+
+
+def test_sales_are_dealt_out_by_as_many_tasks_as_their_bytes_need(spark, own_rows):
+    # A number given would stay the same for any size.
+    plan = inputs.sales(spark, own_rows)._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" in plan and "Some(" not in plan.split("RepartitionByExpression")[1].splitlines()[0]
